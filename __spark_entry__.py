@@ -287,10 +287,10 @@ def otlp_documents(c: Capture) -> DataFrame:
 
 
 def span_files(c: Capture) -> DataFrame:
-    """The span table written by day as Parquet and read back."""
+    """The span table written by year as Parquet and read back."""
     spark = c.spark
     path = _scratch(spark, "spans")
-    sl.write_spans(_spans(c), path)
+    sl.write_spans(_spans(c), path, period="year")
     return _plain(spark.read.schema(SPANS).parquet(path))
 
 
@@ -301,7 +301,12 @@ def stream_spans(c: Capture) -> DataFrame:
     _nested(c).write.parquet(landing)
     stream = sl.read_executions(spark, landing, streaming=True, maxFilesPerTrigger="4")
     query = sl.stream_spans(
-        stream, sink, _scratch(spark, "offsets"), config=CONFIG, available_now=True
+        stream,
+        sink,
+        _scratch(spark, "offsets"),
+        config=CONFIG,
+        period="year",
+        available_now=True,
     )
     query.awaitTermination()
     return _plain(spark.read.schema(SPANS).parquet(sink))

@@ -22,10 +22,10 @@ from spanloom.operators.lineage import cut_lineage
 NODE_KEY = ["query_id", "node_id"]
 
 
-def split(plan_nodes: DataFrame, config: SpanConfig) -> tuple[DataFrame, DataFrame | None]:
-    """Nodes of trees within ``config.max_tree_nodes``, and the other nodes or None.
+def oversized(plan_nodes: DataFrame, config: SpanConfig) -> DataFrame | None:
+    """Ids of the trees above ``config.max_tree_nodes``, or None.
 
-    One narrow count, combined before its shuffle; the ids of oversized trees are few by definition.
+    One narrow count, combined before its shuffle; such ids are few by definition.
     """
     ids = (
         plan_nodes.groupBy("query_id")
@@ -33,22 +33,31 @@ def split(plan_nodes: DataFrame, config: SpanConfig) -> tuple[DataFrame, DataFra
         .filter(F.col("_nodes") > config.max_tree_nodes)
         .select("query_id")
     )
-    if ids.isEmpty():
-        return plan_nodes, None
-    ids = cut_lineage(ids)
-
-    def pick(how: str) -> DataFrame:
-        return checked_join(
-            plan_nodes,
-            ids,
-            on=["query_id"],
-            spread=["node_id"],
-            how=how,
-            max_broadcast_bytes=config.max_broadcast_bytes,
-            salts=config.join_salts,
-        )
+    return None if ids.isEmpty() else cut_lineage(ids)
+
+
+def nodes_of(
+    plan_nodes: DataFrame, ids: DataFrame, config: SpanConfig, others: bool = False
+) -> DataFrame:
+    """The nodes of the trees ``ids``, or those of all other trees."""
+    return checked_join(
+        plan_nodes,
+        ids,
+        on=["query_id"],
+        spread=["node_id"],
+        how="left_anti" if others else "left_semi",
+        max_broadcast_bytes=config.max_broadcast_bytes,
+        salts=config.join_salts,
+    )
+
 
-    return pick("left_anti"), pick("left_semi")
+def split(plan_nodes: DataFrame, config: SpanConfig) -> tuple[DataFrame, DataFrame | None]:
+    """Nodes of trees within ``config.max_tree_nodes``, and the other nodes or None."""
+    ids = oversized(plan_nodes, config)
+    if ids is None:
+        return plan_nodes, None
+    large = cut_lineage(nodes_of(plan_nodes, ids, config))
+    return nodes_of(plan_nodes, ids, config, others=True), large
 
 
 def _climb(

@@ -173,16 +173,15 @@ def walk_plans(plan_nodes: DataFrame, config: SpanConfig = SpanConfig()) -> Data
     )
     if large is None:
         return result
-    return result.unionByName(walk_large(large))
+    return result.unionByName(walk_large(large, largetrees.place(large)))
 
 
 def plan_tables(fitting: Column, lead: Column, position: Column) -> Column:
     return F.slice(tables_between(fitting, lead, position), 1, PLAN_TABLES_MAX).alias("plan_tables")
 
 
-def walk_large(plan_nodes: DataFrame) -> DataFrame:
-    """:func:`walk_plans` for trees that do not fit one row."""
-    placed = largetrees.place(plan_nodes)
+def walk_large(plan_nodes: DataFrame, placed: DataFrame) -> DataFrame:
+    """:func:`walk_plans` for trees that do not fit one row, once their nodes are placed."""
     name = F.col("table_name")
     fitting = F.when(F.octet_length(name) <= TABLE_NAME_MAX_BYTES, name)
     tables = largetrees.tables_by_subtree(placed, fitting, first=PLAN_TABLES_MAX)
@@ -235,16 +234,15 @@ def query_tables(plan_nodes: DataFrame, config: SpanConfig = SpanConfig()) -> Da
     )
     if large is None:
         return result
-    return result.unionByName(large_query_tables(large))
+    return result.unionByName(large_query_tables(largetrees.place(large)))
 
 
 def sorted_tables(names: Column) -> Column:
     return F.sort_array(F.array_except(names, F.array(F.lit(None).cast("string"))))
 
 
-def large_query_tables(plan_nodes: DataFrame) -> DataFrame:
+def large_query_tables(placed: DataFrame) -> DataFrame:
     """:func:`query_tables` for trees that do not fit one row; a name is gathered once per query."""
-    placed = largetrees.place(plan_nodes)
     return (
         placed.select("query_id", "table_name")
         .distinct()

@@ -61,6 +61,23 @@ NODE_EXECUTION_COLUMNS = [
 ]
 
 
+# What the projection of spans reads.
+SPAN_ROW_COLUMNS = [
+    "query_id",
+    "trace_id",
+    "parent_span_id",
+    "query_span_id",
+    "db_operation",
+    "db_statement",
+    "wall_start_nano",
+    "service_name",
+    "query_name",
+    "node",
+    "plan_tables",
+    "emit_order",
+]
+
+
 def operation_label(operation: Column) -> Column:
     cases = [operation == command for command in OPERATION_LABELS]
     labels = [F.lit(label) for label in OPERATION_LABELS.values()]
@@ -194,13 +211,14 @@ def query_spans(
 
 def as_query_rows(rows: DataFrame) -> DataFrame:
     order = F.col("shown") + 1 if "shown" in rows.columns else F.lit(None)
-    return with_query_name(rows, F.col("tables")).select(
-        *EXECUTION_COLUMNS,
-        "query_name",
-        query_node().alias("node"),
-        F.lit(None).cast("array<string>").alias("plan_tables"),
-        order.cast("bigint").alias("emit_order"),
+    named = with_query_name(rows, F.col("tables")).withColumns(
+        {
+            "node": query_node(),
+            "plan_tables": F.lit(None).cast("array<string>"),
+            "emit_order": order.cast("bigint"),
+        }
     )
+    return named.select(SPAN_ROW_COLUMNS)
 
 
 def plan_spans(
@@ -215,4 +233,5 @@ def plan_spans(
 def as_plan_rows(rows: DataFrame) -> DataFrame:
     """Add the columns that only query spans use."""
     only_query = ["parent_span_id", "db_operation", "db_statement", "query_name"]
-    return rows.withColumns({name: F.lit(None).cast("string") for name in only_query})
+    nulls = {name: F.lit(None).cast("string") for name in only_query}
+    return rows.withColumns(nulls).select(SPAN_ROW_COLUMNS)

@@ -10,6 +10,7 @@ from spanloom.operators import largetrees, plantree
 from spanloom.operators.catalog import resolve_relations
 from spanloom.operators.context import attach_trace_context
 from spanloom.operators.joins import checked_join
+from spanloom.operators.lineage import cut_lineage
 from spanloom.operators.slow import slow_executions
 from spanloom.operators.spans import (
     EXECUTION_COLUMNS,
@@ -87,50 +88,48 @@ def build_spans(
     Only nodes of slow executions are shuffled, once, by query. Trees above
     ``config.max_tree_nodes`` take the joined route and are added to the result.
     """
-    small, large = largetrees.split(plan_nodes, config)
     prepared = prepare_executions(select_executions(executions, config), config)
     slow_ids = slow_executions(executions, config.default_min_duration_ms).select("query_id")
 
+    large_ids = largetrees.oversized(plan_nodes, config)
+    small = plan_nodes
+    if large_ids is not None:
+        small = largetrees.nodes_of(plan_nodes, large_ids, config, others=True)
     wanted = small.join(slow_ids, "query_id", "left_semi")
     named = resolve_relations(wanted, relations, namespaces, config)
     trees = plantree.gather_trees(named, SPAN_NODE_FIELDS)
     result = _spans_of_trees(prepared.join(trees, "query_id"), config)
-    if large is None:
+    if large_ids is None:
         return result
-    large_spans = _large_spans(prepared, large, relations, namespaces, config)
-    return result.unionByName(large_spans)
 
+    slow_large = cut_lineage(large_ids.join(slow_ids, "query_id", "left_semi"))
+    large = largetrees.nodes_of(plan_nodes, slow_large, config)
+    named = cut_lineage(resolve_relations(large, relations, namespaces, config))
+    own = cut_lineage(prepared.join(slow_large, "query_id", "left_semi"))
+    return result.unionByName(_spans_of_large_trees(own, named, config))
 
-def _large_spans(
-    prepared: DataFrame,
-    large: DataFrame,
-    relations: DataFrame,
-    namespaces: DataFrame,
-    config: SpanConfig,
+
+def _spans_of_large_trees(
+    prepared: DataFrame, nodes: DataFrame, config: SpanConfig
 ) -> DataFrame:
-    """Spans of oversized trees; the few executions they belong to are joined to their nodes."""
-
-    def with_executions(nodes: DataFrame, columns: list[str], how: str) -> DataFrame:
-        ids = large.select("query_id").distinct()
-        own = prepared.select(columns).join(ids, "query_id", "left_semi")
-        return checked_join(
-            nodes,
-            own,
-            on=["query_id"],
-            spread=["node.node_id"],
-            how=how,
-            max_broadcast_bytes=config.max_broadcast_bytes,
-            salts=config.join_salts,
-        )
-
-    named = resolve_relations(large, relations, namespaces, config)
-    walked = plantree.walk_large(named)
-    plan_rows = as_plan_rows(with_executions(walked, NODE_EXECUTION_COLUMNS, "inner"))
-
-    last = walked.groupBy("query_id").agg(F.max("emit_order").alias("shown"))
-    query_rows = as_query_rows(
-        prepared.join(plantree.large_query_tables(named), "query_id")
-        .join(last, "query_id", "left")
-        .fillna(0, ["shown"])
+    """Spans of oversized trees; their few executions are joined to the single nodes."""
+    placed = largetrees.place(nodes)
+    walked = plantree.walk_large(nodes, placed)
+    plan_rows = checked_join(
+        walked,
+        prepared.select(NODE_EXECUTION_COLUMNS),
+        on=["query_id"],
+        spread=["node.node_id"],
+        how="inner",
+        max_broadcast_bytes=config.max_broadcast_bytes,
+        salts=config.join_salts,
+    )
+    shown = placed.groupBy("query_id").agg(
+        F.coalesce(F.max("visible_position"), F.lit(0)).alias("shown")
+    )
+    query_rows = prepared.join(plantree.large_query_tables(placed), "query_id").join(
+        shown, "query_id"
+    )
+    return project_spans(
+        as_plan_rows(plan_rows).unionByName(as_query_rows(query_rows)), config
     )
-    return project_spans(plan_rows.unionByName(query_rows), config)
