@@ -81,22 +81,29 @@ def _climb(
         if each_round is not None:
             each_round(pending)
         above = nodes.select(
-            "query_id",
-            F.col("node_id").alias("up"),
+            F.col("query_id").alias("_query_id"),
+            F.col("node_id").alias("_node_id"),
             F.struct("up", "dead", *carried).alias("above"),
         )
-        known = F.col("above").isNotNull()
-        moved = pending.join(above, ["query_id", "up"], "left").select(
+        # Settled nodes go by their own key, so that they do not gather under a null one.
+        at_pointer = (
+            (F.col("query_id") == F.col("_query_id"))
+            & (F.coalesce("up", "node_id") == F.col("_node_id"))
+            & F.col("up").isNotNull()
+        )
+        settled, known = F.col("up").isNull(), F.col("above").isNotNull()
+        after = nodes.join(above, at_pointer, "left").select(
             *others,
             F.col("above.up").alias("up"),
-            F.when(known, F.col("dead") | F.col("above.dead")).otherwise(True).alias("dead"),
+            F.when(settled, F.col("dead"))
+            .when(known, F.col("dead") | F.col("above.dead"))
+            .otherwise(True)
+            .alias("dead"),
             *(
                 F.when(known, f(F.col("above")[c], F.col(c))).otherwise(F.col(c)).alias(c)
                 for c, f in carried.items()
             ),
         )
-        settled = nodes.filter(F.col("up").isNull())
-        after = settled.unionByName(moved)
         if summed:
             received = pending.groupBy("query_id", F.col("up").alias("node_id")).agg(
                 *(F.sum(c).alias(f"_{c}") for c in summed)

@@ -1,12 +1,19 @@
-"""Cut the lineage of iterated tables through the shared checkpoint folder."""
+"""Cut the lineage of iterated tables through the folder that the cluster shares."""
 
 from __future__ import annotations
 
 import tempfile
+import uuid
+from functools import cache
 
 from pyspark.sql import DataFrame, SparkSession
 
 
+@cache
+def _local_folder() -> str:
+    return tempfile.mkdtemp(prefix="spanloom-")
+
+
 def shared_folder(spark: SparkSession) -> str:
     """The folder the cluster names in ``spark.checkpoint.dir``; local sessions may have none."""
     folder = spark.conf.get("spark.checkpoint.dir", None)
@@ -14,11 +21,16 @@ def shared_folder(spark: SparkSession) -> str:
         return folder
     if not spark.sparkContext.master.startswith("local"):
         raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-    return tempfile.mkdtemp(prefix="spanloom-")
+    return _local_folder()
 
 
 def cut_lineage(df: DataFrame) -> DataFrame:
+    """Write ``df`` to the shared folder and read it back.
+
+    A written table survives lost executors. Unlike a checkpointed plan it also carries no inferred
+    constraints, whose number would double with every round of an iteration.
+    """
     spark = df.sparkSession
-    if spark.sparkContext.getCheckpointDir() is None:
-        spark.sparkContext.setCheckpointDir(shared_folder(spark))
-    return df.checkpoint()
+    path = f"{shared_folder(spark)}/spanloom-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
