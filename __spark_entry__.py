@@ -49,6 +49,13 @@ def _named(c: Capture) -> DataFrame:
     return sl.resolve_relations(c.plan_nodes, c.relations, c.namespaces)
 
 
+def _named_slow(c: Capture) -> DataFrame:
+    """Plan nodes of slow executions only: the filter runs before any tree work."""
+    slow_ids = _slow(c).select("query_id")
+    nodes = c.plan_nodes.join(slow_ids, "query_id", "left_semi")
+    return sl.resolve_relations(nodes, c.relations, c.namespaces)
+
+
 def _spans(c: Capture, config: sl.SpanConfig = CONFIG) -> DataFrame:
     return sl.build_spans(c.executions, c.plan_nodes, c.relations, c.namespaces, config)
 
@@ -149,7 +156,7 @@ def bounded_text(c: Capture) -> DataFrame:
 
 
 def query_spans(c: Capture) -> DataFrame:
-    tables = sl.query_tables(_named(c))
+    tables = sl.query_tables(_named_slow(c))
     return sl.query_spans(_in_context(_slow(c)), tables, CONFIG).select(
         "query_id",
         "trace_id",
@@ -168,7 +175,7 @@ def query_spans(c: Capture) -> DataFrame:
 
 
 def _plan_spans(c: Capture) -> DataFrame:
-    return sl.plan_spans(sl.walk_plans(_named(c)), _in_context(_slow(c)), CONFIG)
+    return sl.plan_spans(sl.walk_plans(_named_slow(c)), _in_context(_slow(c)), CONFIG)
 
 
 def plan_span_names(c: Capture) -> DataFrame:

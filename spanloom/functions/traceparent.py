@@ -24,11 +24,14 @@ def comment_traceparent(text: Column, marker: str) -> Column:
     The whole text is read left to right as comment openers, closers and marked words. A marked word
     starts a comment or follows white space, and ends at white space or at the closer.
     """
-    quoted = "".join("\\" + c if re.match(r"[^\w\s]", c, re.ASCII) else c for c in marker)
+    characters = ["\\" + c if re.match(r"[^\w\s]", c, re.ASCII) else c for c in marker]
+    quoted, quoted_first = "".join(characters), characters[0]
     pieces = F.regexp_extract_all(
         text,
         F.lit(
-            rf"/\*|\*/|(?:(?<=/\*)|(?<=[{_SPACE}])){quoted}(?:(?!\*/)[^{_SPACE}])*+"
+            # The lookahead skips most characters without trying the alternatives.
+            rf"(?=[/*{quoted_first}])"
+            rf"(?:/\*|\*/|(?:(?<=/\*)|(?<=[{_SPACE}])){quoted}(?:(?!\*/)[^{_SPACE}])*+)"
         ),
         F.lit(0),
     )
