@@ -4,11 +4,13 @@ import random
 
 import pytest
 
+from pyspark.sql import functions as F
+
 from spanloom import SpanConfig, nest_plans, query_tables, subtree_tables, walk_plans
+from spanloom.operators import largetrees, plantree
 from tests.data import executions, plan_nodes
 
-IN_ROW = SpanConfig()
-JOINED = SpanConfig(max_tree_nodes=1)
+SPLIT = SpanConfig(max_tree_nodes=50)
 
 
 def random_tree(rng: random.Random, query_id: int, size: int, shape: str) -> list[dict]:
@@ -37,10 +39,10 @@ def random_tree(rng: random.Random, query_id: int, size: int, shape: str) -> lis
 def forest() -> list[dict]:
     rng = random.Random(11)
     nodes = []
-    for query_id in range(1, 25):
+    for query_id in range(1, 12):
         nodes += random_tree(rng, query_id, rng.randint(1, 60), "any")
     nodes += random_tree(rng, 100, 90, "left")
-    nodes += random_tree(rng, 101, 70, "right")
+    nodes += random_tree(rng, 101, 60, "right")
     # Not reachable from the root: a lost parent, an unknown side and a circle.
     broken = random_tree(rng, 102, 12, "any")
     lost = {"query_id": 102, "instrumented": True, "table_name": "unreachable"}
@@ -92,29 +94,50 @@ def nodes(spark):
     return plan_nodes(spark, *forest(), table_name=True).cache()
 
 
-@pytest.mark.parametrize("config", [IN_ROW, JOINED, SpanConfig(max_tree_nodes=30)])
-def test_subtree_tables(nodes, config):
+@pytest.fixture(scope="module")
+def placed(nodes):
+    return largetrees.place(nodes, with_paths=True).cache()
+
+
+def subtree_rows(df):
+    rows = df.collect()
+    got = {(r.query_id, r.node_id): (r.side_path, r.tables or [], r.visible) for r in rows}
+    assert len(rows) == len(got)
+    return got
+
+
+def test_subtree_tables_in_rows(nodes):
     wanted = {k: v[:3] for k, v in expected(forest()).items()}
-    rows = subtree_tables(nodes, config).collect()
-    assert len(rows) == len(wanted)
-    got = {(r.query_id, r.node_id): (r.side_path, r.tables, r.visible) for r in rows}
-    assert got == wanted
+    assert subtree_rows(subtree_tables(nodes)) == wanted
 
 
-@pytest.mark.parametrize("config", [IN_ROW, JOINED])
-def test_visible_nodes(nodes, config):
+def test_subtree_tables_by_joins(placed):
+    wanted = {k: v[:3] for k, v in expected(forest()).items()}
+    tables = largetrees.tables_by_subtree(placed, F.col("table_name"))
+    assert subtree_rows(placed.join(tables, largetrees.NODE_KEY, "left")) == wanted
+
+
+def check_visible(df):
     wanted = {k: v[3:] for k, v in expected(forest()).items() if v[2]}
-    rows = walk_plans(nodes, config).collect()
+    rows = df.collect()
     assert len(rows) == len(wanted)
     got = {(r.query_id, r.node.node_id): (r.plan_tables, r.emit_order) for r in rows}
     assert got == wanted
 
 
-@pytest.mark.parametrize("config", [IN_ROW, JOINED])
-def test_query_tables(nodes, config):
+def test_visible_nodes_in_rows(nodes):
+    check_visible(walk_plans(nodes))
+
+
+def test_visible_nodes_by_joins(nodes, placed):
+    check_visible(plantree.walk_large(nodes, placed))
+
+
+def test_query_tables_on_both_routes(nodes):
     wanted = {k[0]: sorted(v[1]) for k, v in expected(forest()).items() if v[0] == ""}
-    rows = query_tables(nodes, config).collect()
-    assert {r.query_id: r.tables for r in rows} == wanted
+    for config in (SpanConfig(), SPLIT):
+        rows = query_tables(nodes, config).collect()
+        assert {r.query_id: r.tables for r in rows} == wanted
 
 
 def test_nested_plans(spark, nodes):
@@ -126,4 +149,4 @@ def test_nested_plans(spark, nodes):
 
 def test_unbounded_plans_are_not_nested(spark, nodes):
     with pytest.raises(ValueError, match="build_spans"):
-        nest_plans(executions(spark, {}), nodes, JOINED)
+        nest_plans(executions(spark, {}), nodes, SPLIT)
