@@ -11,6 +11,7 @@ received what its descendants less than 2^k levels down have sent.
 from __future__ import annotations
 
 from collections.abc import Callable
+from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -22,6 +23,13 @@ from spanloom.operators.lineage import cut_lineage
 NODE_KEY = ["query_id", "node_id"]
 
 
+class Placed(NamedTuple):
+    """Reachable nodes with their places, and per round ``k`` the ancestors 2^k levels up."""
+
+    nodes: DataFrame
+    jumps: list[DataFrame]
+
+
 def oversized(plan_nodes: DataFrame, config: SpanConfig) -> DataFrame | None:
     """Ids of the trees above ``config.max_tree_nodes``, or None.
 
@@ -64,12 +72,13 @@ def _climb(
     nodes: DataFrame,
     carried: dict[str, Callable[[Column, Column], Column]],
     summed: list[str],
-    each_round: Callable[[DataFrame], None] | None = None,
+    jumps: list[DataFrame] | None = None,
 ) -> DataFrame:
     """Run all rounds over ``nodes`` (``query_id``, ``node_id``, ``up``, values).
 
     ``carried`` columns are combined along the path to the root as ``f(above, own)``, ``summed``
-    columns are added up over the subtree. ``dead`` is set where no root is reached.
+    columns are added up over the subtree. ``dead`` is set where no root is reached. The pointers of
+    every round are put into ``jumps``.
     """
     others = [c for c in nodes.columns if c not in {"up", "dead", *carried}]
     nodes = cut_lineage(nodes)
@@ -78,8 +87,8 @@ def _climb(
         pending = nodes.filter(F.col("up").isNotNull())
         if pending.isEmpty():
             break
-        if each_round is not None:
-            each_round(pending)
+        if jumps is not None:
+            jumps.append(pending.select(*NODE_KEY, "up"))
         above = nodes.select(
             F.col("query_id").alias("_query_id"),
             F.col("node_id").alias("_node_id"),
@@ -141,7 +150,7 @@ def _inherit(above: Column, own: Column) -> Column:
     return F.coalesce(above, own)
 
 
-def place(plan_nodes: DataFrame, with_paths: bool = False) -> DataFrame:
+def place(plan_nodes: DataFrame, with_paths: bool = False) -> Placed:
     """Reachable nodes with ``visible``, ``position``, ``visible_position`` and, on demand,
     ``side_path``, which is as long as its node is deep.
 
@@ -166,27 +175,34 @@ def place(plan_nodes: DataFrame, with_paths: bool = False) -> DataFrame:
     climbed = _climb(start, paths, ["size"])
     placed = climbed.filter(~F.col("dead")).drop("dead", "up")
 
-    def ranked(nodes: DataFrame, size: str, position: str, summed: list[str]) -> DataFrame:
+    jumps: list[DataFrame] = []
+
+    def ranked(
+        nodes: DataFrame,
+        size: str,
+        position: str,
+        summed: list[str],
+        jumps: list[DataFrame] | None = None,
+    ) -> DataFrame:
         """Position in post-order = size of the whole tree - steps up to the root."""
         root_size = F.when(is_root, F.col(size)).alias("tree_size")
         stepped = _steps_before_end(nodes, size).select(
             "*", F.col("parent_node_id").alias("up"), F.lit(False).alias("dead"), root_size
         )
-        done = _climb(stepped, {"step": _add, "tree_size": _inherit}, summed)
+        done = _climb(stepped, {"step": _add, "tree_size": _inherit}, summed, jumps)
         return done.withColumn(position, F.col("tree_size") - F.col("step")).drop(
             "up", "dead", "step", "tree_size"
         )
 
     sized = placed.withColumn("visible_size", F.col("visible").cast("bigint"))
-    placed = ranked(sized, "size", "position", ["visible_size"])
+    placed = ranked(sized, "size", "position", ["visible_size"], jumps)
     visible = ranked(placed.filter("visible"), "visible_size", "visible_position", [])
     hidden = placed.filter(~F.col("visible"))
-    return visible.unionByName(hidden, allowMissingColumns=True).drop("size", "visible_size")
+    nodes = visible.unionByName(hidden, allowMissingColumns=True).drop("size", "visible_size")
+    return Placed(nodes, jumps)
 
 
-def tables_by_subtree(
-    placed: DataFrame, table_name: Column, first: int | None = None
-) -> DataFrame:
+def tables_by_subtree(placed: Placed, table_name: Column, first: int | None = None) -> DataFrame:
     """``tables`` per node: distinct ``table_name`` of its subtree in post-order.
 
     With ``first`` only that many are kept. A table among the first of a subtree is among the first of
@@ -204,19 +220,12 @@ def tables_by_subtree(
             )
         return cut_lineage(result)
 
-    own = placed.select(*NODE_KEY, table_name.alias("table_name"), "position")
+    own = placed.nodes.select(*NODE_KEY, table_name.alias("table_name"), "position")
     found = merged(own.filter(F.col("table_name").isNotNull()))
-
-    def send_up(pending: DataFrame) -> None:
-        nonlocal found
-        sent = found.join(pending.select(*NODE_KEY, "up"), NODE_KEY).select(
+    for jump in placed.jumps:
+        sent = found.join(jump, NODE_KEY).select(
             "query_id", F.col("up").alias("node_id"), "table_name", "position"
         )
         found = merged(found.unionByName(sent))
-
-    pointers = placed.select(
-        *NODE_KEY, F.col("parent_node_id").alias("up"), F.lit(False).alias("dead")
-    )
-    _climb(pointers, {}, [], send_up)
     in_order = F.sort_array(F.collect_list(F.struct("position", "table_name")))
     return found.groupBy(*NODE_KEY).agg(in_order["table_name"].alias("tables"))

@@ -180,12 +180,12 @@ def plan_tables(fitting: Column, lead: Column, position: Column) -> Column:
     return F.slice(tables_between(fitting, lead, position), 1, PLAN_TABLES_MAX).alias("plan_tables")
 
 
-def walk_large(plan_nodes: DataFrame, placed: DataFrame) -> DataFrame:
+def walk_large(plan_nodes: DataFrame, placed: largetrees.Placed) -> DataFrame:
     """:func:`walk_plans` for trees that do not fit one row, once their nodes are placed."""
     name = F.col("table_name")
     fitting = F.when(F.octet_length(name) <= TABLE_NAME_MAX_BYTES, name)
     tables = largetrees.tables_by_subtree(placed, fitting, first=PLAN_TABLES_MAX)
-    orders = placed.filter("visible").select("query_id", "node_id", "visible_position")
+    orders = placed.nodes.filter("visible").select("query_id", "node_id", "visible_position")
     nodes = plan_nodes.select("query_id", "node_id", F.struct(*SPAN_NODE_FIELDS).alias("node"))
     return (
         nodes.join(orders, largetrees.NODE_KEY)
@@ -216,7 +216,7 @@ def subtree_tables(plan_nodes: DataFrame, config: SpanConfig = SpanConfig()) ->
         return result
     placed = largetrees.place(large, with_paths=True)
     tables = largetrees.tables_by_subtree(placed, F.col("table_name"))
-    rest = placed.join(tables, largetrees.NODE_KEY, "left").select(
+    rest = placed.nodes.join(tables, largetrees.NODE_KEY, "left").select(
         "query_id",
         "node_id",
         "side_path",
@@ -234,17 +234,17 @@ def query_tables(plan_nodes: DataFrame, config: SpanConfig = SpanConfig()) -> Da
     )
     if large is None:
         return result
-    return result.unionByName(large_query_tables(largetrees.place(large)))
+    return result.unionByName(large_query_tables(largetrees.place(large).nodes))
 
 
 def sorted_tables(names: Column) -> Column:
     return F.sort_array(F.array_except(names, F.array(F.lit(None).cast("string"))))
 
 
-def large_query_tables(placed: DataFrame) -> DataFrame:
+def large_query_tables(placed_nodes: DataFrame) -> DataFrame:
     """:func:`query_tables` for trees that do not fit one row; a name is gathered once per query."""
     return (
-        placed.select("query_id", "table_name")
+        placed_nodes.select("query_id", "table_name")
         .distinct()
         .groupBy("query_id")
         .agg(F.sort_array(F.collect_list("table_name")).alias("tables"))

@@ -96,7 +96,7 @@ def nodes(spark):
 
 @pytest.fixture(scope="module")
 def placed(nodes):
-    return largetrees.place(nodes, with_paths=True).cache()
+    return largetrees.place(nodes, with_paths=True)
 
 
 def subtree_rows(df):
@@ -114,7 +114,7 @@ def test_subtree_tables_in_rows(nodes):
 def test_subtree_tables_by_joins(placed):
     wanted = {k: v[:3] for k, v in expected(forest()).items()}
     tables = largetrees.tables_by_subtree(placed, F.col("table_name"))
-    assert subtree_rows(placed.join(tables, largetrees.NODE_KEY, "left")) == wanted
+    assert subtree_rows(placed.nodes.join(tables, largetrees.NODE_KEY, "left")) == wanted
 
 
 def check_visible(df):
