@@ -22,6 +22,11 @@ from spanloom.operators.lineage import cut_lineage
 
 NODE_KEY = ["query_id", "node_id"]
 
+# An ancestor that more nodes than this point to is looked up by broadcast. The bound grows with the
+# input so that at most 1 / HOT_SHARE ancestors are hot in a round.
+HOT_POINTERS = 10_000
+HOT_SHARE = 1e-4
+
 
 class Placed(NamedTuple):
     """Reachable nodes with their places, and per round ``k`` the ancestors 2^k levels up."""
@@ -83,7 +88,9 @@ def _climb(
     others = [c for c in nodes.columns if c not in {"up", "dead", *carried}]
     nodes = cut_lineage(nodes)
     # A tree of n nodes settles within log2(n) + 1 rounds; what moves after that runs in a circle.
-    for _ in range(nodes.count().bit_length() + 1):
+    total = nodes.count()
+    hot_pointers = max(HOT_POINTERS, int(total * HOT_SHARE))
+    for _ in range(total.bit_length() + 1):
         pending = nodes.filter(F.col("up").isNotNull())
         if pending.isEmpty():
             break
@@ -94,14 +101,9 @@ def _climb(
             F.col("node_id").alias("_node_id"),
             F.struct("up", "dead", *carried).alias("above"),
         )
-        # Settled nodes go by their own key, so that they do not gather under a null one.
-        at_pointer = (
-            (F.col("query_id") == F.col("_query_id"))
-            & (F.coalesce("up", "node_id") == F.col("_node_id"))
-            & F.col("up").isNotNull()
-        )
+        after = _look_up(nodes, pending, above, hot_pointers if total > hot_pointers else None)
         settled, known = F.col("up").isNull(), F.col("above").isNotNull()
-        after = nodes.join(above, at_pointer, "left").select(
+        after = after.select(
             *others,
             F.col("above.up").alias("up"),
             F.when(settled, F.col("dead"))
@@ -125,6 +127,44 @@ def _climb(
     return nodes.withColumn("dead", F.col("dead") | F.col("up").isNotNull())
 
 
+def _look_up(
+    nodes: DataFrame, pending: DataFrame, above: DataFrame, hot_pointers: int | None
+) -> DataFrame:
+    """``nodes`` with ``above``, what is known of the node they point to.
+
+    Towards the end of a deep tree most nodes point to a few ancestors near the root. Those few are
+    broadcast; the other pointers are joined, where nodes without one go by their own key.
+    """
+    pointer = F.col("up")
+    if hot_pointers is not None:
+        hot = (
+            pending.groupBy(
+                F.col("query_id").alias("_query_id"), F.col("up").alias("_node_id")
+            )
+            .agg(F.count(F.lit(1)).alias("_pointers"))
+            .filter(F.col("_pointers") > hot_pointers)
+        )
+        known = above.join(hot, ["_query_id", "_node_id"], "left_semi").select(
+            F.col("_query_id").alias("_hot_query_id"),
+            F.col("_node_id").alias("_hot_node_id"),
+            F.col("above").alias("_hot_above"),
+        )
+        is_hot = (F.col("query_id") == F.col("_hot_query_id")) & (
+            F.col("up") == F.col("_hot_node_id")
+        )
+        nodes = nodes.join(F.broadcast(known), is_hot, "left")
+        pointer = F.when(F.col("_hot_above").isNull(), pointer)
+    at_pointer = (
+        (F.col("query_id") == F.col("_query_id"))
+        & (F.coalesce(pointer, F.col("node_id")) == F.col("_node_id"))
+        & pointer.isNotNull()
+    )
+    joined = nodes.join(above, at_pointer, "left")
+    if hot_pointers is not None:
+        joined = joined.withColumn("above", F.coalesce("_hot_above", "above"))
+    return joined
+
+
 def _steps_before_end(nodes: DataFrame, size: str) -> DataFrame:
     """Add ``step``: how much earlier than its parent a node comes in post-order."""
     right = nodes.filter(F.col("side") == "R").select(

@@ -99,6 +99,16 @@ def placed(nodes):
     return largetrees.place(nodes, with_paths=True)
 
 
+def test_hot_ancestors_are_looked_up_apart(nodes, placed, monkeypatch):
+    monkeypatch.setattr(largetrees, "HOT_POINTERS", 4)
+    some = nodes.filter("query_id > 8")
+    again = largetrees.place(some, with_paths=True).nodes
+    wanted = placed.nodes.filter("query_id > 8")
+    assert sorted(again.select(wanted.columns).collect(), key=repr) == sorted(
+        wanted.collect(), key=repr
+    )
+
+
 def subtree_rows(df):
     rows = df.collect()
     got = {(r.query_id, r.node_id): (r.side_path, r.tables or [], r.visible) for r in rows}
