@@ -4,7 +4,16 @@ import re
 
 import pytest
 
-from spanloom import SpanConfig, build_spans, otlp_batches
+from spanloom import (
+    SpanConfig,
+    build_spans,
+    otlp_batches,
+    query_tables,
+    spans_from_nested,
+    subtree_tables,
+    walk_plans,
+)
+from spanloom.schemas import NESTED_EXECUTIONS
 from tests.data import catalog, executions, plan_nodes
 from tests.test_spans import tree
 
@@ -43,6 +52,23 @@ def test_one_walk_and_one_shuffle_of_the_nodes(spans):
     assert "BroadcastHashJoin [_scanned_oid" in plan
 
 
+@pytest.mark.parametrize("job", [walk_plans, subtree_tables, query_tables])
+def test_each_job_walks_once(spark, job):
+    nodes = plan_nodes(spark, *tree(1, 3), table_name=True)
+    plan = plan_of(job(nodes))
+    assert len(re.findall(r"aggregate\(sequence\(", plan)) == 1
+    assert "Python" not in plan
+
+
+def test_nested_input_needs_no_shuffle(spark, tmp_path):
+    path = str(tmp_path / "nested")
+    spark.createDataFrame([], NESTED_EXECUTIONS).write.parquet(path)
+    nested = spark.read.schema(NESTED_EXECUTIONS).parquet(path)
+    plan = plan_of(spans_from_nested(nested, CONFIG))
+    assert len(re.findall(r"aggregate\(sequence\(", plan)) == 1
+    assert "Exchange" not in plan
+
+
 def test_full_texts_are_not_shuffled(spans, capsys):
     spans.explain("formatted")
     shuffled = re.findall(r"\) Exchange\s*\nInput \[\d+\]: \[(.*)\]", capsys.readouterr().out)
