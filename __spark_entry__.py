@@ -137,7 +137,7 @@ def nested_plans(c: Capture) -> DataFrame:
 
 
 def subtree_tables(c: Capture, config: sl.SpanConfig = CONFIG) -> DataFrame:
-    return sl.subtree_tables(_named(c), config).select(
+    return sl.subtree_tables(_named(c), config, c.plan_nodes).select(
         "query_id", "node_id", "side_path", _joined("tables"), "visible"
     )
 
@@ -156,7 +156,7 @@ def bounded_text(c: Capture) -> DataFrame:
 
 
 def query_spans(c: Capture) -> DataFrame:
-    tables = sl.query_tables(_named_slow(c))
+    tables = sl.query_tables(_named_slow(c), counted=c.plan_nodes)
     return sl.query_spans(_in_context(_slow(c)), tables, CONFIG).select(
         "query_id",
         "trace_id",
@@ -175,7 +175,8 @@ def query_spans(c: Capture) -> DataFrame:
 
 
 def _plan_spans(c: Capture) -> DataFrame:
-    return sl.plan_spans(sl.walk_plans(_named_slow(c)), _in_context(_slow(c)), CONFIG)
+    walked = sl.walk_plans(_named_slow(c), counted=c.plan_nodes)
+    return sl.plan_spans(walked, _in_context(_slow(c)), CONFIG)
 
 
 def plan_span_names(c: Capture) -> DataFrame:

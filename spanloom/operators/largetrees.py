@@ -64,9 +64,15 @@ def nodes_of(
     )
 
 
-def split(plan_nodes: DataFrame, config: SpanConfig) -> tuple[DataFrame, DataFrame | None]:
-    """Nodes of trees within ``config.max_tree_nodes``, and the other nodes or None."""
-    ids = oversized(plan_nodes, config)
+def split(
+    plan_nodes: DataFrame, config: SpanConfig, counted: DataFrame | None = None
+) -> tuple[DataFrame, DataFrame | None]:
+    """Nodes of trees within ``config.max_tree_nodes``, and the other nodes or None.
+
+    The count runs over ``counted`` where given: a table with at least these nodes that is cheaper to
+    read, such as the stored one they were derived from.
+    """
+    ids = oversized(plan_nodes if counted is None else counted, config)
     if ids is None:
         return plan_nodes, None
     large = cut_lineage(nodes_of(plan_nodes, ids, config))

@@ -150,14 +150,16 @@ def visible_nodes(walked: Column) -> Column:
     return F.filter(F.transform(walked, placed), lambda item: item["visible"])
 
 
-def walk_plans(plan_nodes: DataFrame, config: SpanConfig = SpanConfig()) -> DataFrame:
+def walk_plans(
+    plan_nodes: DataFrame, config: SpanConfig = SpanConfig(), counted: DataFrame | None = None
+) -> DataFrame:
     """Visible nodes as ``node`` structs with ``plan_tables`` and ``emit_order``.
 
     ``plan_tables`` are the first 12 distinct tables of the subtree in post-order, leaving out names
     over 64 bytes. ``emit_order`` numbers the visible nodes of a query from 1: children before their
-    parent, left before right.
+    parent, left before right. For ``counted`` see :func:`spanloom.operators.largetrees.split`.
     """
-    small, large = largetrees.split(plan_nodes, config)
+    small, large = largetrees.split(plan_nodes, config, counted)
     trees = walked_trees(gather_trees(small, SPAN_NODE_FIELDS)).select(
         "query_id",
         visible_nodes(F.col("walk")).alias("shown"),
@@ -199,10 +201,12 @@ def walk_large(plan_nodes: DataFrame, placed: largetrees.Placed) -> DataFrame:
     )
 
 
-def subtree_tables(plan_nodes: DataFrame, config: SpanConfig = SpanConfig()) -> DataFrame:
+def subtree_tables(
+    plan_nodes: DataFrame, config: SpanConfig = SpanConfig(), counted: DataFrame | None = None
+) -> DataFrame:
     """Per reachable node: ``side_path``, the distinct ``tables`` of its subtree in post-order and
     whether it is ``visible``; hidden nodes contribute tables too."""
-    small, large = largetrees.split(plan_nodes, config)
+    small, large = largetrees.split(plan_nodes, config, counted)
     walked = walked_trees(gather_trees(small, TREE_FIELDS))
     rows = walked.select("query_id", "names", F.posexplode_outer("walk").alias("position", "item"))
     result = rows.filter(F.col("item").isNotNull()).select(
@@ -226,9 +230,11 @@ def subtree_tables(plan_nodes: DataFrame, config: SpanConfig = SpanConfig()) ->
     return result.unionByName(rest)
 
 
-def query_tables(plan_nodes: DataFrame, config: SpanConfig = SpanConfig()) -> DataFrame:
+def query_tables(
+    plan_nodes: DataFrame, config: SpanConfig = SpanConfig(), counted: DataFrame | None = None
+) -> DataFrame:
     """Per query with a plan: the sorted distinct ``tables`` of its whole tree."""
-    small, large = largetrees.split(plan_nodes, config)
+    small, large = largetrees.split(plan_nodes, config, counted)
     result = walked_trees(gather_trees(small, TREE_FIELDS)).select(
         "query_id", sorted_tables(F.col("names")).alias("tables")
     )
