@@ -23,6 +23,12 @@ from spanloom.operators.spans import operation_label, seconds  # noqa: E402
 from spanloom.schemas import SPAN_NODE_FIELDS, SPANS  # noqa: E402
 from spanloom.sources.derived import DEFAULT_MIN_DURATION_MS, MARKER, Capture  # noqa: E402
 
+try:  # the subpackage and the pipeline at the top come and go together
+    import corpus_pipeline  # noqa: E402
+    from spanloom.llm import queries as corpus  # noqa: E402
+except ImportError:
+    corpus = corpus_pipeline = None
+
 CONFIG = sl.SpanConfig(default_min_duration_ms=DEFAULT_MIN_DURATION_MS, marker=MARKER)
 # Small enough that most trees of the given tables take the joined route.
 SPLIT_CONFIG = sl.SpanConfig(
@@ -362,8 +368,16 @@ def queries() -> dict[str, Query]:
     def bind(build: Callable[[Capture], DataFrame]) -> Query:
         return lambda spark, sf_dir: build(Capture(spark, sf_dir))
 
-    return {name: bind(build) for name, build in _QUERIES.items()}
+    found: dict[str, Query] = {name: bind(build) for name, build in _QUERIES.items()}
+    if corpus is not None:
+        found |= corpus.QUERIES | {"pipeline": corpus_pipeline.run}
+    return found
 
 
 def oracle_sql() -> dict[str, str]:
-    return oracle.statements()
+    found = oracle.statements()
+    if corpus is not None:
+        found |= corpus.SQL
+        if corpus_pipeline.ORACLE_SQL:
+            found["pipeline"] = corpus_pipeline.ORACLE_SQL
+    return found

@@ -13,11 +13,15 @@ def engine():
     return check_engine(SF_DIR)
 
 
+OWN = sorted(contract._QUERIES)
+
+
 def test_every_query_has_a_counterpart():
-    assert set(contract.queries()) == set(contract.oracle_sql())
+    assert set(OWN) <= set(contract.queries())
+    assert set(OWN) <= set(contract.oracle_sql()) <= set(contract.queries())
 
 
-@pytest.mark.parametrize("name", sorted(contract.queries()))
+@pytest.mark.parametrize("name", OWN)
 def test_same_rows(spark, engine, name):
     assert differences(spark, engine, SF_DIR, name) is None
 
