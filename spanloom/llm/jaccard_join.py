@@ -7,15 +7,20 @@ when the universe is hashed into ``m = H + 1`` segments, they agree in all of so
 segment for the band below, where it may be the larger partner.
 
 1. Equal sets become one set.
-2. Signatures meet by value. Each set is first compared with one other only, the one that leads most
-   of its signatures; what links is joined into components. A group of thousands of near copies is
-   settled by as many comparisons.
-3. Only pairs of different components that share a signature are left, and all of them are compared.
-   Where a signature is shared by many sets, the allocation changes for the sets that have it: the
-   costly segments are skipped, and as many of their cheapest other segments are raised to
-   one-deletion neighbourhoods, in which two sets must differ twice to escape. The sum of what the
-   segments tolerate stays above ``H``, so no link is lost. Sets with too few cheap segments keep
-   their costly ones.
+2. Signatures meet by value. Each set is first compared with one other only, its centre: the set that
+   leads most of its signatures, where the one that shares most signatures leads. What links is
+   joined into components. A group of thousands of near copies is settled by as many comparisons.
+3. Pairs of different components that share a signature are left. Two sets with one centre are known
+   by their differences from it: one of them, ``x``, did not link to the centre ``c``, so that
+   ``|x ^ c| > r (|x| + |c|)`` with ``r = (100 - percent) / (100 + percent)``. If it links to ``y``,
+   their differences share more than ``(|y ^ c| + r (|c| - |y|)) / 2`` tokens, and so one of any
+   ``|y ^ c|`` less that many tokens of ``y``'s difference, for which tokens that the centre lacks
+   are taken first. Only pairs that meet on such a token are compared.
+4. All other pairs that share a signature are compared. Where a signature is shared by many sets, the
+   allocation changes for the sets that have it: the costly segments are skipped, and as many of
+   their cheapest other segments are raised to one-deletion neighbourhoods, in which two sets must
+   differ twice to escape. The sum of what the segments tolerate stays above ``H``, so no link is
+   lost. Sets with too few cheap segments keep their costly ones.
 
 Comparisons are exact, on the sets made from the texts.
 """
@@ -39,9 +44,9 @@ HOT_MEMBERS = 256
 _P1, _P2 = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F)
 _PLACE = 40  # bits of a segment number
 
-SET_DDL = "doc_id long, n_shingles long, set_key binary"
+SET_DDL = "doc_id long, n_shingles long, set_key binary, words binary"
 SIGNATURE_DDL = "key long, place long, set_key binary"
-BLOB_DDL = "set_key binary, words binary"
+CENTRE_DDL = "a binary, b binary, linked boolean, difference array<long>, n_listed int"
 
 
 def _mix(x: np.ndarray) -> np.ndarray:
@@ -139,15 +144,22 @@ def _binary(keys: list[bytes], counts=None) -> pa.Array:
 
 def _describe(size: int):
     def describe(batches):
+        squeeze = zstandard.ZstdCompressor(level=3)
         for part in pieces(batches):
-            sets = shingle_sets(*text_bytes(part["text"]), size)
+            data, offsets = text_bytes(part["text"])
+            sets = shingle_sets(data, offsets, size)
+            words = [
+                squeeze.compress(data[start:end].tobytes())
+                for start, end in zip(offsets[:-1], offsets[1:])
+            ]
             yield pa.RecordBatch.from_arrays(
                 [
                     part["doc_id"],
                     pa.array([len(s) for s in sets], pa.int64()),
                     pa.array([_set_key(s) for s in sets], pa.binary()),
+                    pa.array(words, pa.binary()),
                 ],
-                names=["doc_id", "n_shingles", "set_key"],
+                names=["doc_id", "n_shingles", "set_key", "words"],
             )
 
     return describe
@@ -179,57 +191,87 @@ def _sign(size: int, percent: int):
     return sign
 
 
-def _pack_words(size: int):
-    def pack(batches):
-        squeeze = zstandard.ZstdCompressor(level=3)
-        for part in pieces(batches):
-            data, offsets = text_bytes(part["text"])
-            keys = [_set_key(s) for s in shingle_sets(data, offsets, size)]
-            found = {
-                key: squeeze.compress(data[offsets[i] : offsets[i + 1]].tobytes())
-                for i, key in enumerate(keys)
-            }
-            yield pa.RecordBatch.from_arrays(
-                [_binary(list(found)), pa.array(list(found.values()), pa.binary())],
-                names=["set_key", "words"],
-            )
-
-    return pack
-
-
 def _unpacked(blob: bytes, size: int) -> np.ndarray:
     text = np.frombuffer(zstandard.ZstdDecompressor().decompress(blob), np.uint8)
     return shingle_sets(text, np.array([0, len(text)]), size)[0]
 
 
+def _compared(batches, size: int):
+    """Batches of ``a, b, a_words, b_words`` with the two sets of each row."""
+    known, first = None, np.zeros(0, np.uint64)
+    for batch in batches:
+        sets = []
+        for a, a_words, b_words in zip(*(batch[c].to_pylist() for c in ("a", "a_words", "b_words"))):
+            if a != known:
+                known, first = a, _unpacked(a_words, size)
+            sets.append((first, _unpacked(b_words, size)))
+        yield batch.select(["a", "b"]), sets
+
+
+def _linked(first: np.ndarray, second: np.ndarray, percent: int) -> bool:
+    common = len(np.intersect1d(first, second, assume_unique=True))
+    return 100 * common >= percent * (len(first) + len(second) - common)
+
+
 def _compare(size: int, percent: int):
     def compare(batches):
-        known, last = None, np.zeros(0, np.uint64)
-        for batch in batches:
-            keep = []
-            rows = zip(*(batch[c].to_pylist() for c in ("a", "a_words", "b_words")))
-            for a, a_words, b_words in rows:
-                if a != known:
-                    known, last = a, _unpacked(a_words, size)
-                other = _unpacked(b_words, size)
-                common = len(np.intersect1d(last, other, assume_unique=True))
-                union = len(last) + len(other) - common
-                keep.append(100 * common >= percent * union)
-            yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
+        for pairs, sets in _compared(batches, size):
+            yield pairs.filter(pa.array([_linked(x, y, percent) for x, y in sets], pa.bool_()))
 
     return compare
 
 
-def verify(pairs: DataFrame, blobs: DataFrame, size: int, percent: int) -> DataFrame:
-    """The pairs ``(a, b)`` of set keys that are linked."""
+def _compare_centre(size: int, percent: int):
+    """Whether ``b`` links to its centre ``a``; its difference, of which the first are listed."""
+
+    def compare(batches):
+        for pairs, sets in _compared(batches, size):
+            linked, differences, listed = [], [], []
+            for centre, own in sets:
+                added = np.setdiff1d(own, centre, assume_unique=True)
+                gone = np.setdiff1d(centre, own, assume_unique=True)
+                linked.append(_linked(centre, own, percent))
+                n = len(added) + len(gone)
+                # floor((n + r (|c| - |y|)) / 2), and more tokens than that are shared
+                slack = n * (100 + percent) + (100 - percent) * (len(centre) - len(own))
+                listed.append(n - slack // (2 * (100 + percent)))
+                differences.append(np.concatenate([added, gone]).view(np.int64))
+            yield pa.RecordBatch.from_arrays(
+                [
+                    *pairs.columns,
+                    pa.array(linked, pa.bool_()),
+                    pa.array(differences, pa.list_(pa.int64())),
+                    pa.array(listed, pa.int32()),
+                ],
+                names=["a", "b", "linked", "difference", "n_listed"],
+            )
+
+    return compare
+
+
+def _with_words(pairs: DataFrame, blobs: DataFrame) -> DataFrame:
     second = blobs.select(F.col("set_key").alias("b"), F.col("words").alias("b_words"))
     first = blobs.select(F.col("set_key").alias("a"), F.col("words").alias("a_words"))
     both = pairs.select("a", "b").join(second, "b").join(first, "a")
-    return cut_lineage(
-        both.select("a", "b", "a_words", "b_words").mapInArrow(
-            _compare(size, percent), "a binary, b binary"
-        )
+    return both.select("a", "b", "a_words", "b_words")
+
+
+def verify(pairs: DataFrame, blobs: DataFrame, size: int, percent: int) -> DataFrame:
+    """The pairs ``(a, b)`` of set keys that are linked."""
+    compared = _with_words(pairs, blobs).mapInArrow(_compare(size, percent), "a binary, b binary")
+    return cut_lineage(compared)
+
+
+def _centre_pairs(centred: DataFrame) -> DataFrame:
+    """Pairs of sets with one centre, one of which does not link to it, that meet on a token."""
+    loose = centred.filter(~F.col("linked"))
+    concerned = centred.join(loose.select("a").distinct(), "a", "left_semi")
+    probes = loose.select("a", F.col("b").alias("x"), F.explode("difference").alias("token"))
+    listed = concerned.select(
+        "a", F.col("b").alias("y"), F.explode(F.slice("difference", 1, "n_listed")).alias("token")
     )
+    met = probes.join(listed, ["a", "token"]).filter(F.col("x") != F.col("y"))
+    return met.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct()
 
 
 def _delete_one(size: int, percent: int):
@@ -257,17 +299,22 @@ def _delete_one(size: int, percent: int):
 
 
 def _cross(left: DataFrame, right: DataFrame) -> DataFrame:
-    """Pairs of sets that share a key and have different labels."""
-    a = left.select("key", F.col("set_key").alias("x"), F.col("label").alias("x_label"))
-    b = right.select("key", F.col("set_key").alias("y"), F.col("label").alias("y_label"))
-    met = a.join(b, "key").filter(F.col("x_label") != F.col("y_label"))
+    """Pairs of sets that share a key, with different labels and centres."""
+
+    def sides(rows: DataFrame, name: str) -> DataFrame:
+        return rows.select("key", *(F.col(c).alias(f"{name}_{c}") for c in ("label", "centre")),
+                           F.col("set_key").alias(name))
+
+    a, b = sides(left, "x"), sides(right, "y")
+    apart = (F.col("x_label") != F.col("y_label")) & (F.col("x_centre") != F.col("y_centre"))
+    met = a.join(b, (a["key"] == b["key"]) & apart)
     return met.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct()
 
 
 def _hot_pairs(rest: DataFrame, blobs: DataFrame, size: int, percent: int, hot: int) -> DataFrame:
     """Pairs that only shared signatures of many sets would show, by the changed allocation.
 
-    ``rest`` has ``key, place, set_key, label, members`` of shared signatures.
+    ``rest`` has ``key, place, set_key, label, centre, members`` of shared signatures.
     """
     band = F.shiftright("place", _PLACE)
     families_of = F.udf(lambda n: dict(families(n, percent)), "map<long,int>")  # a few rows per band
@@ -308,7 +355,7 @@ def _hot_pairs(rest: DataFrame, blobs: DataFrame, size: int, percent: int, hot:
         .filter(F.col("rank") <= F.col("n_hot"))
         .select("set_key", "place")
     )
-    labels = rows.select("set_key", "label").distinct()
+    labels = rows.select("set_key", "label", "centre").distinct()
     probes = listed.join(raised, ["set_key", "place"]).join(labels, "set_key")
     held = listed.join(labels, "set_key")
     near = _cross(probes.filter("deleted"), held.filter(~F.col("deleted"))).union(
@@ -328,59 +375,74 @@ def _sizes(size: int):
     return sizes
 
 
+def describe_sets(docs: DataFrame, size: int = 3) -> DataFrame:
+    """``doc_id``, the size and key of each document's set, and its compressed words; written."""
+    return cut_lineage(docs.select("doc_id", "text").mapInArrow(_describe(size), SET_DDL))
+
+
 def set_links(
-    docs: DataFrame, size: int = 3, percent: int = 90, hot_members: int = HOT_MEMBERS
+    docs: DataFrame,
+    described: DataFrame,
+    size: int = 3,
+    percent: int = 90,
+    hot_members: int = HOT_MEMBERS,
 ) -> DataFrame:
     """Verified links ``(a, b)`` between keys of different sets.
 
     They connect all sets that the threshold connects; a pair whose members other links already
     connect may be missing.
     """
-    texts = docs.select("doc_id", "text")
-    signed = texts.select("text").mapInArrow(_sign(size, percent), SIGNATURE_DDL)
+    signed = docs.select("text").mapInArrow(_sign(size, percent), SIGNATURE_DDL)
     group = Window.partitionBy("key", "place")
     # Equal sets of different batches give equal rows; they count once.
     shared = cut_lineage(
-        signed.withColumn("pivot", F.min("set_key").over(group))
-        .withColumn("furthest", F.max("set_key").over(group))
-        .filter(F.col("pivot") != F.col("furthest"))
-        .select("key", "place", "set_key", "pivot")
+        signed.withColumn("least", F.min("set_key").over(group))
+        .withColumn("most", F.max("set_key").over(group))
+        .filter(F.col("least") != F.col("most"))
+        .select("key", "place", "set_key")
         .distinct()
     )
-    needed = shared.select("set_key").distinct()
+    needed = cut_lineage(shared.groupBy("set_key").agg(F.count("*").alias("n_shared")))
     blobs = cut_lineage(
-        texts.select("text")
-        .mapInArrow(_pack_words(size), BLOB_DDL)
+        described.select("set_key", "words")
         .join(needed, "set_key", "left_semi")
         .groupBy("set_key")
         .agg(F.first("words").alias("words"))
     )
-    led = (
-        shared.filter(F.col("pivot") != F.col("set_key"))
-        .groupBy("set_key", "pivot")
+    leading = F.max_by("set_key", F.struct("n_shared", "set_key")).over(group)
+    led = shared.join(needed, "set_key").withColumn("centre", leading)
+    centres = cut_lineage(
+        led.groupBy("set_key", "centre")
         .agg(F.count("*").alias("n"))
         .groupBy("set_key")
-        .agg(F.max_by("pivot", F.struct("n", "pivot")).alias("pivot"))
+        .agg(F.max_by("centre", F.struct("n", "centre")).alias("centre"))
+    )
+    tried = centres.filter(F.col("centre") != F.col("set_key")).select(
+        F.col("centre").alias("a"), F.col("set_key").alias("b")
     )
-    tried = cut_lineage(led.select(F.col("pivot").alias("a"), F.col("set_key").alias("b")))
-    links = verify(tried, blobs, size, percent)
+    centred = cut_lineage(
+        _with_words(tried, blobs).mapInArrow(_compare_centre(size, percent), CENTRE_DDL)
+    )
+    links = centred.filter("linked").select("a", "b")
 
-    labels = component_labels(links)
-    labelled = shared.join(labels, F.col("set_key") == F.col("node"), "left").select(
-        "key", "place", "set_key", F.coalesce("label", "set_key").alias("label")
+    labels = component_labels(links).withColumnRenamed("node", "set_key")
+    labelled = shared.join(centres, "set_key").join(labels, "set_key", "left").withColumn(
+        "label", F.coalesce("label", "set_key")
     )
     rest = cut_lineage(
-        labelled.withColumn("least", F.min("label").over(group))
-        .withColumn("most", F.max("label").over(group))
+        labelled.withColumn("least", F.min(F.struct("label", "centre")).over(group))
+        .withColumn("most", F.max(F.struct("label", "centre")).over(group))
         .withColumn("members", F.count(F.lit(1)).over(group))
-        .filter(F.col("least") != F.col("most"))
+        .filter(F.col("least.label") != F.col("most.label"))
         .drop("least", "most")
     )
     cold = rest.filter(F.col("members") <= hot_members)
     pairs = _cross(cold, cold)
     if not rest.filter(F.col("members") > hot_members).isEmpty():
-        pairs = pairs.union(_hot_pairs(rest, blobs, size, percent, hot_members)).distinct()
-    open_pairs = cut_lineage(pairs.join(tried, ["a", "b"], "left_anti"))
+        pairs = pairs.union(_hot_pairs(rest, blobs, size, percent, hot_members))
+    apart = pairs.union(_centre_pairs(centred)).distinct()
+    known = centred.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
+    open_pairs = cut_lineage(apart.join(known, ["a", "b"], "left_anti"))
     return links.union(verify(open_pairs, blobs, size, percent))
 
 
@@ -395,8 +457,9 @@ def jaccard_components(
     gives an empty result.
     """
     chosen = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string"))
-    described = cut_lineage(chosen.mapInArrow(_describe(size), SET_DDL))
-    labels = component_labels(set_links(chosen, size, percent, hot_members))
+    described = describe_sets(chosen, size)
+    labels = component_labels(set_links(chosen, described, size, percent, hot_members))
+    described = described.drop("words")
     named = described.filter(F.col("n_shingles") > 0).join(
         labels, F.col("set_key") == F.col("node"), "left"
     )
