@@ -43,8 +43,9 @@ from spanloom.operators.lineage import cut_lineage
 HOT_MEMBERS = 256
 _P1, _P2 = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F)
 _PLACE = 40  # bits of a segment number
+_CLASSES = 64  # of the sketch
 
-SET_DDL = "doc_id long, n_shingles long, set_key binary, words binary"
+SET_DDL = "doc_id long, n_shingles long, set_key binary, words binary, sketch array<int>"
 SIGNATURE_DDL = "key long, place long, set_key binary"
 CENTRE_DDL = "a binary, b binary, linked boolean, difference array<long>, n_listed int"
 
@@ -88,6 +89,11 @@ def _set_key(tokens: np.ndarray) -> bytes:
     return xxhash.xxh3_128_digest(tokens.tobytes())
 
 
+def _sketch(tokens: np.ndarray) -> np.ndarray:
+    """How many tokens fall into each class: sets differ in at least as many as their counts do."""
+    return np.bincount((tokens % np.uint64(_CLASSES)).astype(np.int64), minlength=_CLASSES)
+
+
 def most_differing(s: int, t: int, percent: int) -> int:
     """How many tokens linked sets of these sizes differ in at most.
 
@@ -158,8 +164,9 @@ def _describe(size: int):
                     pa.array([len(s) for s in sets], pa.int64()),
                     pa.array([_set_key(s) for s in sets], pa.binary()),
                     pa.array(words, pa.binary()),
+                    pa.array([_sketch(s) for s in sets], pa.list_(pa.int32())),
                 ],
-                names=["doc_id", "n_shingles", "set_key", "words"],
+                names=["doc_id", "n_shingles", "set_key", "words", "sketch"],
             )
 
     return describe
@@ -256,9 +263,24 @@ def _with_words(pairs: DataFrame, blobs: DataFrame) -> DataFrame:
     return both.select("a", "b", "a_words", "b_words")
 
 
+def _plausible(pairs: DataFrame, blobs: DataFrame, percent: int) -> DataFrame:
+    """The pairs whose sketches do not already differ more than linked sets can.
+
+    Linked sets differ in at most ``(100 - percent) / (100 + percent)`` of the sum of their sizes.
+    """
+    first = blobs.select(F.col("set_key").alias("a"), F.col("sketch").alias("a_sketch"))
+    second = blobs.select(F.col("set_key").alias("b"), F.col("sketch").alias("b_sketch"))
+    total = lambda c: F.aggregate(c, F.lit(0).cast("bigint"), lambda n, x: n + x)
+    apart = total(F.zip_with("a_sketch", "b_sketch", lambda x, y: F.abs(x - y)))
+    sizes = total(F.col("a_sketch")) + total(F.col("b_sketch"))
+    near = apart * (100 + percent) <= sizes * (100 - percent)
+    return pairs.join(second, "b").join(first, "a").filter(near).select("a", "b")
+
+
 def verify(pairs: DataFrame, blobs: DataFrame, size: int, percent: int) -> DataFrame:
     """The pairs ``(a, b)`` of set keys that are linked."""
-    compared = _with_words(pairs, blobs).mapInArrow(_compare(size, percent), "a binary, b binary")
+    likely = cut_lineage(_plausible(pairs, blobs, percent))
+    compared = _with_words(likely, blobs).mapInArrow(_compare(size, percent), "a binary, b binary")
     return cut_lineage(compared)
 
 
@@ -403,11 +425,12 @@ def set_links(
         .distinct()
     )
     needed = cut_lineage(shared.groupBy("set_key").agg(F.count("*").alias("n_shared")))
+    # The wanted keys grow with the input, so both sides are shuffled at any size.
     blobs = cut_lineage(
-        described.select("set_key", "words")
-        .join(needed, "set_key", "left_semi")
+        described.select("set_key", "words", "sketch")
+        .join(needed.hint("merge"), "set_key", "left_semi")
         .groupBy("set_key")
-        .agg(F.first("words").alias("words"))
+        .agg(F.first("words").alias("words"), F.first("sketch").alias("sketch"))
     )
     leading = F.max_by("set_key", F.struct("n_shared", "set_key")).over(group)
     led = shared.join(needed, "set_key").withColumn("centre", leading)
@@ -459,7 +482,7 @@ def jaccard_components(
     chosen = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string"))
     described = describe_sets(chosen, size)
     labels = component_labels(set_links(chosen, described, size, percent, hot_members))
-    described = described.drop("words")
+    described = described.drop("words", "sketch")
     named = described.filter(F.col("n_shingles") > 0).join(
         labels, F.col("set_key") == F.col("node"), "left"
     )
