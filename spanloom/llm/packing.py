@@ -9,7 +9,11 @@ the result near that of one packing.
 
 from __future__ import annotations
 
+import itertools
+import os
+import re
 import zlib
+from array import array
 from functools import cache
 
 import numpy as np
@@ -17,11 +21,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from spanloom.llm.words import encode_words, pieces, text_bytes
+from spanloom.llm.words import encode_spans, pieces, text_bytes
 from spanloom.operators.lineage import cut_lineage
 
 GROUP_PIECES = 100_000
 _CACHED_CHUNKS = 400_000
+_JOINED = 2000
+_PLAIN = re.compile(rb" (?:[!-~]|\xc3[\x80-\xbf])[^\n]*")
 
 TOKEN_DDL = "doc_id long, ids array<int>"
 PIECE_DDL = "doc_id long, piece int, start long, length long, ids_crc32 long"
@@ -32,6 +38,7 @@ PLACE_DDL = PIECE_DDL + ", sequence_id long, offset long"
 def _tokenizer(path: str):
     from tokenizers import Tokenizer
 
+    os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a task has one core
     tokenizer = Tokenizer.from_file(path)
     tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
     return tokenizer
@@ -66,37 +73,67 @@ class ChunkCoder:
 
     def __init__(self, path: str):
         self.tokenizer = _tokenizer(path)
-        self.known: dict[bytes, np.ndarray] = {}
+        self.line_feed = self._encode(["\n"])[0].ids[0]
+        self._forget()
 
-    def encode(self, texts: pa.Array) -> list[np.ndarray]:
-        data, offsets = text_bytes(texts)
-        starts = _chunk_starts(data, offsets)
-        ends = np.append(starts[1:], len(data))
-        distinct, index = encode_words(data, starts, ends) if len(starts) else ([], [])
-        chunks = [c.as_py() for c in distinct]
+    def _forget(self) -> None:
+        self.known: dict[bytes, int] = {}
+        self.ids, self.ends = array("I"), array("q", [0])
+
+    def _slots(self, chunks: list[bytes]) -> np.ndarray:
+        """Where each chunk's ids are: chunk ``i`` of the store is between ``ends[i]`` and the next."""
         missing = [c for c in chunks if c not in self.known]
         if len(self.known) + len(missing) > _CACHED_CHUNKS:
-            self.known.clear()
+            self._forget()
             missing = chunks
-        fresh = self.tokenizer.encode_batch_fast(
-            [c.decode() for c in missing], add_special_tokens=False
-        )
-        for chunk, encoded in zip(missing, fresh):
-            self.known[chunk] = np.array(encoded.ids, np.uint32)
-        ids = [self.known[c] for c in chunks]
-        sizes = np.array([len(i) for i in ids], np.int64)
-        flat = np.concatenate(ids) if ids else np.zeros(0, np.uint32)
-        begins = np.zeros(len(ids) + 1, np.int64)
-        np.cumsum(sizes, out=begins[1:])
-        first = np.searchsorted(starts, offsets)
-        found = []
-        for doc in range(len(offsets) - 1):
-            own = index[first[doc] : first[doc + 1]]
-            counts = sizes[own]
-            ahead = np.cumsum(counts) - counts
-            places = np.arange(counts.sum()) + np.repeat(begins[own] - ahead, counts)
-            found.append(flat[places])
-        return found
+        plain = [c for c in missing if _PLAIN.fullmatch(c)]
+        for at in range(0, len(plain), _JOINED):
+            self._learn_joined(plain[at : at + _JOINED])
+        self._learn([c for c in missing if c not in self.known])
+        return np.fromiter(map(self.known.__getitem__, chunks), np.int64, len(chunks))
+
+    def _encode(self, texts: list[str]):
+        return self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
+
+    def _learn(self, chunks: list[bytes]) -> None:
+        if chunks:
+            ids = [e.ids for e in self._encode(list(map(bytes.decode, chunks)))]
+            flat = np.fromiter(itertools.chain.from_iterable(ids), np.uint32)
+            self._store(chunks, flat, [len(i) for i in ids])
+
+    def _learn_joined(self, chunks: list[bytes]) -> None:
+        """Encode chunks of one space and a word as lines of one text.
+
+        Between a word and a space a line feed is a token of its own, and only there.
+        """
+        ids = np.array(self._encode([b"\n".join(chunks).decode()])[0].ids, np.uint32)
+        feeds = np.flatnonzero(ids == self.line_feed)
+        if len(feeds) == len(chunks) - 1:  # else they are learned one by one
+            sizes = np.diff(np.concatenate([[-1], feeds, [len(ids)]])) - 1
+            self._store(chunks, np.delete(ids, feeds), sizes)
+
+    def _store(self, chunks: list[bytes], ids: np.ndarray, sizes) -> None:
+        self.known.update(zip(chunks, range(len(self.known), len(self.known) + len(chunks))))
+        self.ends.frombytes((np.cumsum(sizes, dtype=np.int64) + len(self.ids)).tobytes())
+        self.ids.frombytes(ids.tobytes())
+
+    def encode(self, texts: pa.Array) -> list[np.ndarray]:
+        data, offsets = text_bytes(texts)
+        starts = _chunk_starts(data, offsets)
+        if not len(starts):
+            return [np.zeros(0, np.uint32)] * (len(offsets) - 1)
+        distinct, index = encode_spans(data, np.append(starts, len(data)))
+        slots = self._slots(distinct.to_pylist())
+        store, ends = np.array(self.ids, np.uint32), np.array(self.ends, np.int64)
+        begins, sizes = ends[slots], ends[slots + 1] - ends[slots]
+        counts = sizes[index]
+        through = np.zeros(len(counts) + 1, np.int64)
+        np.cumsum(counts, out=through[1:])
+        places = np.repeat(begins[index] - through[:-1], counts)
+        places += np.arange(len(places))
+        found = store[places]
+        bounds = through[np.searchsorted(starts, offsets)]
+        return [found[a:b] for a, b in zip(bounds[:-1], bounds[1:])]
 
 
 def _with_end(ids: np.ndarray, end_id: int) -> np.ndarray:

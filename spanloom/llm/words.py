@@ -78,14 +78,19 @@ def encode_words(data: np.ndarray, starts: np.ndarray, ends: np.ndarray):
     """The distinct spans of ``data`` as an Arrow array, and for each span its index there."""
     keep = np.zeros(len(data) + 1, np.int8)
     keep[starts] += 1
-    np.subtract.at(keep, ends, 1)
+    keep[ends] -= 1
     inside = np.cumsum(keep[:-1], dtype=np.int8).astype(bool)
     offsets = np.zeros(len(starts) + 1, np.int64)
     np.cumsum(ends - starts, out=offsets[1:])
+    return encode_spans(data[inside], offsets)
+
+
+def encode_spans(data: np.ndarray, offsets: np.ndarray):
+    """As ``encode_words``, of spans that follow one another."""
     spans = pa.Array.from_buffers(
         pa.large_binary(),
-        len(starts),
-        [None, pa.py_buffer(offsets), pa.py_buffer(np.ascontiguousarray(data[inside]))],
+        len(offsets) - 1,
+        [None, pa.py_buffer(offsets), pa.py_buffer(np.ascontiguousarray(data))],
     )
     encoded = spans.dictionary_encode()
     return encoded.dictionary, encoded.indices.to_numpy(zero_copy_only=False)
