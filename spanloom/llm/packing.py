@@ -25,7 +25,7 @@ from spanloom.llm.words import encode_spans, pieces, text_bytes
 from spanloom.operators.lineage import cut_lineage
 
 GROUP_PIECES = 100_000
-_CACHED_CHUNKS = 400_000
+_CACHED_CHUNKS = 800_000
 _JOINED = 2000
 _PLAIN = re.compile(rb" (?:[!-~]|\xc3[\x80-\xbf])[^\n]*")
 
@@ -136,13 +136,19 @@ class ChunkCoder:
         return [found[a:b] for a, b in zip(bounds[:-1], bounds[1:])]
 
 
+@cache
+def _coder(path: str) -> ChunkCoder:
+    """One for all tasks of a worker process."""
+    return ChunkCoder(path)
+
+
 def _with_end(ids: np.ndarray, end_id: int) -> np.ndarray:
     return np.append(ids, np.uint32(end_id)).astype("<u4")
 
 
 def _tokens(path: str | None, name: str, end_id: int):
     def tokens(batches):
-        coder = ChunkCoder(path or vocabulary_path(name))
+        coder = _coder(path or vocabulary_path(name))
         for part in pieces(batches):
             ids = [_with_end(i, end_id) for i in coder.encode(part["text"])]
             yield pa.RecordBatch.from_arrays(
@@ -154,7 +160,7 @@ def _tokens(path: str | None, name: str, end_id: int):
 
 def _cut(path: str | None, name: str, end_id: int, most: int):
     def cut(batches):
-        coder = ChunkCoder(path or vocabulary_path(name))
+        coder = _coder(path or vocabulary_path(name))
         for part in pieces(batches):
             rows = []
             for doc_id, found in zip(part["doc_id"].to_pylist(), coder.encode(part["text"])):

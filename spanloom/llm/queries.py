@@ -12,6 +12,8 @@ from spanloom.llm.packing import pack_documents
 from spanloom.llm.quality import quality_rules
 from spanloom.llm.secrets import scan_secrets
 from spanloom.llm.sql import SQL, URL_RULES
+from spanloom.llm.substring_dedup import remove_repeats
+from spanloom.llm.suffix_dedup import remove_byte_repeats
 from spanloom.llm.url_filters import UrlRule, filter_urls
 
 __all__ = ["QUERIES", "SQL"]
@@ -29,10 +31,12 @@ def _of(operator, table: str = "documents"):
 
 
 QUERIES = {
+    "op1_substring_dedup": _of(lambda docs: remove_repeats(docs).drop("kept_text")),
     "op2_exact_dedup": _of(exact_dedup),
     "op3_secret_scans": _of(scan_secrets),
     "op4_ngram_jaccard_join": _of(jaccard_components),
     "op5_source_mixing": _of(mix_sources),
+    "op6_suffix_array_dedup": _of(lambda docs: remove_byte_repeats(docs).drop("kept_bytes")),
     "op7_language_id": _of(identify_languages),
     "op8_best_fit_packing": _of(pack_documents),
     "op9_quality_rules": _of(quality_rules),

@@ -86,8 +86,80 @@ SELECT page_id, host, path, rule_host || rule_path AS rule, coalesce(rule_verdic
 FROM judged
 """
 
+SUBSTRING_DEDUP = f"""
+WITH words AS (
+  SELECT doc_id, u.pos, u.word, count(*) OVER (PARTITION BY doc_id) AS n
+  FROM (SELECT doc_id, {WORDS} AS w FROM documents) d, unnest(list_zip(range(1, len(w) + 1), w)) AS x(u0),
+    LATERAL (SELECT u0[1] AS pos, u0[2] AS word) u),
+windows AS (
+  SELECT *, string_agg(word, ' ') OVER (PARTITION BY doc_id ORDER BY pos ROWS BETWEEN CURRENT ROW AND 34 FOLLOWING) AS w
+  FROM words),
+marked AS (
+  SELECT *, pos + 34 <= n AND count(*) FILTER (pos + 34 <= n) OVER (PARTITION BY w) > 1 AS repeated FROM windows),
+covered AS (
+  SELECT *, bool_or(repeated) OVER (PARTITION BY doc_id ORDER BY pos ROWS BETWEEN 34 PRECEDING AND CURRENT ROW) AS gone
+  FROM marked),
+kept AS (
+  SELECT doc_id, count(*) FILTER (gone) AS n_removed, string_agg(word, ' ' ORDER BY pos) FILTER (NOT gone) AS kept_text
+  FROM covered GROUP BY doc_id)
+SELECT d.doc_id, CAST(len({WORDS}) AS BIGINT) AS n_words, coalesce(k.n_removed, 0) AS n_removed,
+  sha256(coalesce(k.kept_text, '')) AS kept_sha256
+FROM documents d LEFT JOIN kept k USING (doc_id)
+"""
+
+BYTE_DEDUP = """
+WITH hexed AS (SELECT doc_id, hex(encode(coalesce(text, ''))) AS h FROM documents),
+places AS (SELECT doc_id, h, unnest(range(0, len(h) // 2)) AS pos FROM hexed),
+windows AS (
+  SELECT doc_id, pos, substr(h, 2 * pos + 1, 2) AS byte,
+    CASE WHEN 2 * pos + 100 <= len(h) THEN substr(h, 2 * pos + 1, 100) END AS w
+  FROM places),
+marked AS (
+  SELECT doc_id, pos, byte,
+    w IS NOT NULL AND min(doc_id) OVER (PARTITION BY w) < doc_id AS repeated
+  FROM windows),
+covered AS (
+  SELECT *, bool_or(repeated) OVER (PARTITION BY doc_id ORDER BY pos ROWS BETWEEN 49 PRECEDING AND CURRENT ROW) AS gone
+  FROM marked),
+edges AS (
+  SELECT *, gone AND NOT coalesce(lag(gone) OVER (PARTITION BY doc_id ORDER BY pos), false) AS opens FROM covered),
+kept AS (
+  SELECT doc_id, count(*) FILTER (gone) AS n_removed, count(*) FILTER (opens) AS n_spans,
+    string_agg(byte, '' ORDER BY pos) FILTER (NOT gone) AS kept_hex
+  FROM edges GROUP BY doc_id)
+SELECT x.doc_id, CAST(len(x.h) // 2 AS BIGINT) AS n_bytes, coalesce(k.n_removed, 0) AS n_removed,
+  coalesce(k.n_spans, 0) AS n_spans, sha256(unhex(coalesce(k.kept_hex, ''))) AS kept_sha256
+FROM hexed x LEFT JOIN kept k USING (doc_id)
+"""
+
+JACCARD_JOIN = """
+WITH RECURSIVE lowered AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\\x20\\x09-\\x0D]+') AS w
+  FROM documents),
+sets AS (
+  SELECT doc_id, CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 3 THEN [array_to_string(w, ' ')]
+    ELSE list_distinct([w[i] || ' ' || w[i + 1] || ' ' || w[i + 2] FOR i IN range(1, len(w) - 1)]) END AS shingles
+  FROM lowered),
+tokens AS (SELECT doc_id, len(shingles) AS n, unnest(shingles) AS token FROM sets),
+links AS (
+  SELECT a.doc_id AS x, b.doc_id AS y
+  FROM tokens a JOIN tokens b ON a.token = b.token AND a.doc_id <> b.doc_id
+    AND 100 * least(a.n, b.n) >= 90 * greatest(a.n, b.n)
+  GROUP BY a.doc_id, b.doc_id, a.n, b.n
+  HAVING 100 * count(*) >= 90 * (a.n + b.n - count(*))),
+reached(x, y) AS (
+  SELECT x, y FROM links UNION SELECT r.x, l.y FROM reached r JOIN links l ON r.y = l.x)
+SELECT s.doc_id, CAST(len(s.shingles) AS BIGINT) AS n_shingles, least(s.doc_id, coalesce(min(r.y), s.doc_id)) AS component_id
+FROM sets s LEFT JOIN reached r ON s.doc_id = r.x
+GROUP BY s.doc_id, s.shingles
+"""
+
 SQL = {
+    "op1_substring_dedup": SUBSTRING_DEDUP,
     "op2_exact_dedup": EXACT_DEDUP,
+    "op4_ngram_jaccard_join": JACCARD_JOIN,
     "op5_source_mixing": SOURCE_MIXING,
+    "op6_suffix_array_dedup": BYTE_DEDUP,
     "op10_url_filters": URL_FILTERS,
 }
