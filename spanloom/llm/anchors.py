@@ -29,7 +29,7 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from spanloom.llm.words import pieces, text_bytes
+from spanloom.llm.words import PIECE_BYTES, pieces, text_bytes
 from spanloom.operators.lineage import cut_lineage
 
 PIECE_DDL = "piece long, size long, doc_ids binary, missing binary, offsets binary, data binary"
@@ -142,12 +142,12 @@ def bucket_of(anchors: np.ndarray, buckets: int) -> np.ndarray:
     return ((anchors >> np.uint64(20)) % np.uint64(buckets)).astype(np.int64)
 
 
-def pack_pieces(docs: DataFrame) -> DataFrame:
+def pack_pieces(docs: DataFrame, most: int = PIECE_BYTES) -> DataFrame:
     """The documents as a written table of pieces; null texts count as empty."""
 
     def pack(batches):
         squeeze = zstandard.ZstdCompressor(level=3)
-        for part in pieces(batches):
+        for part in pieces(batches, most=most):
             data, offsets = text_bytes(part["text"])
             ids = part["doc_id"]
             yield pa.RecordBatch.from_arrays(
@@ -252,10 +252,12 @@ def wanted_anchors(row: dict) -> np.ndarray:
     return np.sort(np.concatenate(lists)) if lists else np.zeros(0, np.uint64)
 
 
-def repeated_anchors(packed: DataFrame, scheme: Scheme) -> tuple[DataFrame, int]:
+def repeated_anchors(
+    packed: DataFrame, scheme: Scheme, bucket_bytes: int = BUCKET_BYTES
+) -> tuple[DataFrame, int]:
     """Pieces with their repeated anchors, and a number of buckets that fits the input."""
     size = packed.agg(F.coalesce(F.sum("size"), F.lit(0)).alias("n")).first()["n"]
-    buckets = max(16, -(-size // BUCKET_BYTES))
+    buckets = max(16, -(-size // bucket_bytes))
     posted = packed.mapInArrow(_post(scheme, buckets), POST_DDL)
     answers = posted.groupBy("bucket").applyInArrow(_repeated, BACK_DDL)
     return with_answers(packed, answers), buckets
