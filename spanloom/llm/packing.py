@@ -25,7 +25,7 @@ from spanloom.llm.words import encode_spans, pieces, text_bytes
 from spanloom.operators.lineage import cut_lineage
 
 GROUP_PIECES = 100_000
-_CACHED_CHUNKS = 800_000
+_CACHED_CHUNKS = 600_000
 _JOINED = 2000
 _PLAIN = re.compile(rb" (?:[!-~]|\xc3[\x80-\xbf])[^\n]*")
 
@@ -124,7 +124,8 @@ class ChunkCoder:
             return [np.zeros(0, np.uint32)] * (len(offsets) - 1)
         distinct, index = encode_spans(data, np.append(starts, len(data)))
         slots = self._slots(distinct.to_pylist())
-        store, ends = np.array(self.ids, np.uint32), np.array(self.ends, np.int64)
+        # Views end with this call; the store could not grow under them.
+        store, ends = np.frombuffer(self.ids, np.uint32), np.frombuffer(self.ends, np.int64)
         begins, sizes = ends[slots], ends[slots + 1] - ends[slots]
         counts = sizes[index]
         through = np.zeros(len(counts) + 1, np.int64)

@@ -17,7 +17,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 SPACES = " \t\n\x0b\f\r"
-PIECE_BYTES = 4 << 20
+PIECE_BYTES = 2 << 20
 
 _IS_SPACE = np.zeros(256, bool)
 _IS_SPACE[list(SPACES.encode())] = True
