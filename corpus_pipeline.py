@@ -7,58 +7,68 @@ but exact dedup, which tells them apart by text.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from spanloom.llm.exact_dedup import exact_dedup
 from spanloom.llm.jaccard_join import jaccard_components
-from spanloom.llm.mixing import mix_sources
+from spanloom.llm.mixing import repeat_documents
 from spanloom.llm.packing import pack_documents
 from spanloom.llm.quality import quality_rules
+from spanloom.operators.joins import checked_join
 from spanloom.operators.lineage import cut_lineage
 
+# Keys of rejected rows are broadcast up to this measured size, else joined by a shuffle.
+MAX_BROADCAST_BYTES, SALTS = 16 << 20, 32
 
-def _kept(docs: DataFrame, kept_ids: DataFrame) -> DataFrame:
-    """The rows of ``docs`` whose ``doc_id`` is among ``kept_ids``, null included."""
-    ids = kept_ids.select(F.col("doc_id").alias("_kept_id")).distinct()
-    return docs.join(ids, docs["doc_id"].eqNullSafe(F.col("_kept_id")), "left_semi")
+
+def _key(text: Column | None = None) -> Column:
+    """A document's id as text, with its text's digest when rows of one id are told apart."""
+    own = F.coalesce(F.col("doc_id").cast("string"), F.lit("null"))
+    return (own if text is None else F.concat(own, F.lit(":"), text)).alias("_key")
+
+
+def _joined(marked: DataFrame, keys: DataFrame, how: str) -> DataFrame:
+    return checked_join(
+        marked, keys, ["_key"], ["_key", "text"], how, MAX_BROADCAST_BYTES, SALTS
+    )
+
+
+def _without(docs: DataFrame, decisions: DataFrame, kept: Column) -> DataFrame:
+    """The rows of ``docs`` but those of ids that have no row ``kept`` in ``decisions``."""
+    rejected = cut_lineage(
+        decisions.groupBy(_key()).agg(F.max(kept).alias("kept")).filter("not kept").select("_key")
+    )
+    return _joined(docs.select(*docs.columns, _key()), rejected, "left_anti").drop("_key")
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the quality rules keep; an id goes when all its rows are rejected."""
-    return _kept(docs, quality_rules(docs).filter("kept"))
+    return _without(docs, quality_rules(docs), F.col("kept"))
 
 
 def exact(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of equal texts the one with the largest id; of rows that share text and id, one."""
-    kept = (
-        exact_dedup(docs)
-        .filter("kept")
-        .select(F.col("doc_id").alias("_kept_id"), F.col("text_sha256").alias("_kept_text"))
-    )
-    marked = docs.withColumn("_text", F.sha2(F.coalesce("text", F.lit("")), 256))
-    same = marked["doc_id"].eqNullSafe(F.col("_kept_id")) & (F.col("_text") == F.col("_kept_text"))
-    chosen = marked.join(kept, same, "left_semi")
-    return chosen.dropDuplicates(["doc_id", "_text"]).drop("_text")
+    found = exact_dedup(docs).groupBy(_key(F.col("text_sha256")))
+    keys = cut_lineage(found.agg(F.max("kept").alias("kept"), F.count("*").alias("n")))
+    text = F.sha2(F.coalesce("text", F.lit("")), 256)
+    marked = docs.select(*docs.columns, _key(text))
+    kept = _joined(marked, keys.filter("not kept").select("_key"), "left_anti")
+    tied = keys.filter("kept and n > 1").select("_key")
+    alone = _joined(kept, tied, "left_anti")
+    first = _joined(kept, tied, "left_semi").dropDuplicates(["_key"])
+    return alone.unionByName(first).drop("_key")
 
 
 def near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of linked documents the one with the least id."""
-    groups = jaccard_components(docs)
-    return _kept(docs, groups.filter(F.col("doc_id").eqNullSafe(F.col("component_id"))))
+    least = F.col("doc_id").eqNullSafe(F.col("component_id"))
+    return _without(docs, jaccard_components(docs), least)
 
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Every document as often as the mix takes it; documents without words are not taken."""
-    times = (
-        mix_sources(docs)
-        .filter(F.col("taken") > 0)
-        .groupBy(F.col("doc_id").alias("_taken_id"))
-        .agg(F.max((F.col("taken") / F.col("size")).cast("int")).alias("_times"))
-    )
-    taken = docs.join(cut_lineage(times), docs["doc_id"].eqNullSafe(F.col("_taken_id")))
-    repeated = taken.withColumn("_n", F.explode(F.sequence(F.lit(1), F.col("_times"))))
-    return repeated.select(*docs.columns)
+    return repeat_documents(docs)
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -13,10 +13,12 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from spanloom.llm.words import word_count
+from spanloom.operators.joins import checked_join
 from spanloom.operators.lineage import cut_lineage
 
 HASH_DIGITS = 15  # hex digits of the hash: 60 bits
 LEVEL_BITS = 10
+MAX_BROADCAST_BYTES, SALTS = 16 << 20, 32
 
 
 def seeded_hash(doc_id: Column, seed: int) -> Column:
@@ -122,24 +124,19 @@ def _cuts(docs: DataFrame, wanted: DataFrame) -> DataFrame:
     )
 
 
-def mix_sources(
-    docs: DataFrame, weights: tuple[int, ...] = (5, 2, 1), max_epochs: int = 3, seed: int = 17
-) -> DataFrame:
-    """One row per document: its size in words, its source's size and target, and the words taken.
-
-    Sources in code-point order, null last, get ``weights`` in turn. Targets share the words of all
-    documents. Null texts and texts without words have size 0 and give nothing; a null source is a
-    source of its own. Rows that share an id share a hash and are taken alike. Without words all
-    targets are 0; an empty table gives an empty result.
-    """
-    sized = cut_lineage(
-        docs.select(
-            F.col("doc_id").cast("long").alias("doc_id"),
-            F.col("source").cast("string").alias("source"),
-            word_count(F.col("text")).alias("size"),
-            seeded_hash(F.col("doc_id"), seed).alias("u"),
-        )
+def sized_documents(docs: DataFrame, seed: int, keep: tuple[str, ...] = ()) -> DataFrame:
+    """``docs`` as ``doc_id, source, size, u``, or with these and the columns ``keep``."""
+    return docs.select(
+        *keep,
+        F.col("doc_id").cast("long").alias("doc_id"),
+        F.col("source").cast("string").alias("source"),
+        word_count(F.col("text")).alias("size"),
+        seeded_hash(F.col("doc_id"), seed).alias("u"),
     )
+
+
+def source_plan(sized: DataFrame, weights: tuple[int, ...], max_epochs: int) -> DataFrame:
+    """Per source (``of``) its size, target, whole repetitions and cut."""
     totals = sized.groupBy("source").agg(F.sum("size").alias("source_size"))
     ranked = rank_sources(totals)
     cycle = F.element_at(
@@ -161,16 +158,58 @@ def mix_sources(
         )
     )
     cuts = _cuts(sized, targets.filter(F.col("need") > 0).select("source", "need"))
-    plan = (
+    return cut_lineage(
         targets.join(cuts, F.col("source").eqNullSafe(F.col("of")), "left")
-        .drop("of")
+        .drop("of", "need")
         .withColumnRenamed("source", "of")
     )
+
+
+def repetitions() -> Column:
+    """How often a row with its source's plan is taken."""
     extra = F.when(F.col("u") <= F.coalesce(F.col("cut"), F.lit(-1)), 1).otherwise(0)
+    return F.col("whole") + extra
+
+
+def mix_sources(
+    docs: DataFrame, weights: tuple[int, ...] = (5, 2, 1), max_epochs: int = 3, seed: int = 17
+) -> DataFrame:
+    """One row per document: its size in words, its source's size and target, and the words taken.
+
+    Sources in code-point order, null last, get ``weights`` in turn. Targets share the words of all
+    documents. Null texts and texts without words have size 0 and give nothing; a null source is a
+    source of its own. Rows that share an id share a hash and are taken alike. Without words all
+    targets are 0; an empty table gives an empty result.
+    """
+    sized = cut_lineage(sized_documents(docs, seed))
+    plan = source_plan(sized, weights, max_epochs)
     return sized.join(plan, F.col("source").eqNullSafe(F.col("of"))).select(
-        "doc_id",
-        "size",
-        "source_size",
-        "target",
-        (F.col("size") * (F.col("whole") + extra)).alias("taken"),
+        "doc_id", "size", "source_size", "target", (F.col("size") * repetitions()).alias("taken")
     )
+
+
+def repeat_documents(
+    docs: DataFrame, weights: tuple[int, ...] = (5, 2, 1), max_epochs: int = 3, seed: int = 17
+) -> DataFrame:
+    """The rows of ``docs`` as often as the mix takes them; rows without words are not taken.
+
+    Texts are not shuffled: only the plan, a row per source, is joined to them.
+    """
+    plan = source_plan(cut_lineage(sized_documents(docs, seed)), weights, max_epochs)
+    whole_row = F.struct(*(F.col(c) for c in docs.columns)).alias("row")
+    rows = sized_documents(docs, seed, (whole_row,)).filter(F.col("size") > 0)
+    taken = checked_join(
+        rows.select("row", "u", _source_key("source").alias("source_key")),
+        plan.select("whole", "cut", _source_key("of").alias("source_key")),
+        on=["source_key"],
+        spread=["u"],
+        how="inner",
+        max_broadcast_bytes=MAX_BROADCAST_BYTES,
+        salts=SALTS,
+    )
+    times = F.sequence(F.lit(1), repetitions().cast("int"))
+    return taken.filter(repetitions() > 0).select("row", F.explode(times)).select("row.*")
+
+
+def _source_key(name: str) -> Column:
+    return F.coalesce(F.concat(F.lit("="), F.col(name)), F.lit("-"))
