@@ -25,7 +25,7 @@ from spanloom.llm.words import encode_spans, pieces, text_bytes
 from spanloom.operators.lineage import cut_lineage
 
 GROUP_PIECES = 100_000
-_CACHED_CHUNKS = 600_000
+_CACHED_CHUNKS = 450_000
 _JOINED = 2000
 _PLAIN = re.compile(rb" (?:[!-~]|\xc3[\x80-\xbf])[^\n]*")
 
