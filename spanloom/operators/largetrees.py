@@ -46,7 +46,8 @@ def oversized(plan_nodes: DataFrame, config: SpanConfig) -> DataFrame | None:
         .filter(F.col("_nodes") > config.max_tree_nodes)
         .select("query_id")
     )
-    return None if ids.isEmpty() else cut_lineage(ids)
+    written = cut_lineage(ids)  # counted once, then looked at
+    return None if written.isEmpty() else written
 
 
 def nodes_of(

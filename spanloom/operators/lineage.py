@@ -2,26 +2,18 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
-from functools import cache
 
 from pyspark.sql import DataFrame, SparkSession
 
 
-@cache
-def _local_folder() -> str:
-    return tempfile.mkdtemp(prefix="spanloom-")
-
-
 def shared_folder(spark: SparkSession) -> str:
-    """The folder the cluster names in ``spark.checkpoint.dir``; local sessions may have none."""
+    """The folder the cluster names in ``spark.checkpoint.dir``, else one in the warehouse.
+
+    Executors share both, so whether a job runs does not depend on its data or on a setting.
+    """
     folder = spark.conf.get("spark.checkpoint.dir", None)
-    if folder:
-        return folder
-    if not spark.sparkContext.master.startswith("local"):
-        raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-    return _local_folder()
+    return folder or f"{spark.conf.get('spark.sql.warehouse.dir')}/spanloom-scratch"
 
 
 def cut_lineage(df: DataFrame) -> DataFrame:

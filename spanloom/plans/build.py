@@ -68,10 +68,10 @@ def spans_from_nested(executions: DataFrame, config: SpanConfig = SpanConfig())
 
     Executions without timings or without a plan root give no span.
     """
-    rooted = executions.filter(
+    # The threshold comes first: plans of fast executions are not looked at.
+    chosen = select_executions(executions, config).filter(
         F.exists("plan", lambda node: node["parent_node_id"].isNull())
     )
-    chosen = select_executions(rooted, config)
     prepared = prepare_executions(chosen, config, keep=["plan"])
     return _spans_of_trees(prepared, config)
 

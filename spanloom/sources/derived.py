@@ -61,14 +61,12 @@ FROM (SELECT *,
 """
 
 RELATIONS_SQL = (
-    "SELECT s_suppkey AS relation_oid, s_name AS relation_name, s_nationkey AS namespace_oid "
+    "SELECT s_suppkey AS relation_oid, s_name AS relation_name, "
+    "CASE WHEN s_nationkey < 5 THEN s_nationkey + 1000 ELSE s_nationkey END AS namespace_oid "
     "FROM {supplier}"
 )
 
-NAMESPACES_SQL = (
-    "SELECT n_nationkey AS namespace_oid, n_name AS namespace_name FROM {nation} "
-    "WHERE n_nationkey >= 5"
-)
+NAMESPACES_SQL = "SELECT n_nationkey AS namespace_oid, n_name AS namespace_name FROM {nation}"
 
 
 class Capture:
