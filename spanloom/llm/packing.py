@@ -25,6 +25,7 @@ from spanloom.llm.words import encode_spans, pieces, text_bytes
 from spanloom.operators.lineage import cut_lineage
 
 GROUP_PIECES = 100_000
+SLICE_BYTES = 4 << 20
 _CACHED_CHUNKS = 800_000
 _JOINED = 2000
 _PLAIN = re.compile(rb" (?:[!-~]|\xc3[\x80-\xbf])[^\n]*")
@@ -150,7 +151,7 @@ def _with_end(ids: np.ndarray, end_id: int) -> np.ndarray:
 def _tokens(path: str | None, name: str, end_id: int):
     def tokens(batches):
         coder = _coder(path or vocabulary_path(name))
-        for part in pieces(batches):
+        for part in pieces(batches, most=SLICE_BYTES):
             ids = [_with_end(i, end_id) for i in coder.encode(part["text"])]
             yield pa.RecordBatch.from_arrays(
                 [part["doc_id"], pa.array(ids, pa.list_(pa.int32()))], names=["doc_id", "ids"]
@@ -162,7 +163,7 @@ def _tokens(path: str | None, name: str, end_id: int):
 def _cut(path: str | None, name: str, end_id: int, most: int):
     def cut(batches):
         coder = _coder(path or vocabulary_path(name))
-        for part in pieces(batches):
+        for part in pieces(batches, most=SLICE_BYTES):
             rows = []
             for doc_id, found in zip(part["doc_id"].to_pylist(), coder.encode(part["text"])):
                 ids = _with_end(found, end_id)
