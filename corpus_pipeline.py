@@ -20,6 +20,8 @@ from spanloom.operators.lineage import cut_lineage
 
 # Keys of rejected rows are broadcast up to this measured size, else joined by a shuffle.
 MAX_BROADCAST_BYTES, SALTS = 16 << 20, 32
+# Workers stay alive between stages, so packing holds fewer words here than on its own.
+CACHED_CHUNKS = 200_000
 
 
 def _key(text: Column | None = None) -> Column:
@@ -73,7 +75,7 @@ def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pieces of the documents and their places in sequences."""
-    return pack_documents(docs)
+    return pack_documents(docs, cached_chunks=CACHED_CHUNKS)
 
 
 STAGES = [

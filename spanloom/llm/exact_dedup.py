@@ -14,12 +14,11 @@ from __future__ import annotations
 
 from array import array
 
-import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from spanloom.llm.words import lean
 from spanloom.operators.lineage import cut_lineage
 
 SLOTS = 4
@@ -126,16 +125,9 @@ class LiveDigests:
 def _combine(batches):
     """One row per digest and batch, so that a hot text reaches its task once per batch."""
     for batch in batches:
-        rows = batch.to_pandas(types_mapper=pd.ArrowDtype)
-        found = rows.groupby("digest", sort=False)["doc_id"].agg(["max", "size"]).reset_index()
-        yield pa.RecordBatch.from_arrays(
-            [
-                pa.array(found["digest"], pa.binary()),
-                pa.array(found["max"], pa.int64()),
-                pa.array(found["size"].astype(np.int64), pa.int64()),
-            ],
-            names=["digest", "keep_id", "group_size"],
-        )
+        found = pa.table(batch).group_by("digest").aggregate([("doc_id", "max"), ([], "count_all")])
+        named = found.select(["digest", "doc_id_max", "count_all"])
+        yield from named.rename_columns(["digest", "keep_id", "group_size"]).to_batches()
 
 
 def _apply(batches):
@@ -171,7 +163,7 @@ def update_index(
     ``inserted`` and ``deleted`` have columns ``doc_id`` and ``digest``. Deletion ends a digest with
     its whole group; deleting a digest that is not live changes nothing.
     """
-    combined = inserted.select("digest", "doc_id").mapInArrow(_combine, INDEX_DDL)
+    combined = inserted.select("digest", "doc_id").mapInArrow(lean(_combine), INDEX_DDL)
     rows = combined.withColumn("action", F.lit(_INSERTED))
     if index is not None:
         rows = rows.unionByName(index.withColumn("action", F.lit(_STORED)))
@@ -183,7 +175,7 @@ def update_index(
     dealt = rows.select("digest", "keep_id", "group_size", "action").repartition("digest")
     if index is not None or deleted is not None:
         dealt = dealt.sortWithinPartitions("action")
-    return dealt.mapInArrow(_apply, INDEX_DDL)
+    return dealt.mapInArrow(lean(_apply), INDEX_DDL)
 
 
 def exact_dedup(docs: DataFrame) -> DataFrame:

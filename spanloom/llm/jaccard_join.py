@@ -37,7 +37,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from spanloom.llm.components import component_labels
-from spanloom.llm.words import find_words, pieces, text_bytes, word_hashes
+from spanloom.llm.words import find_words, lean, pieces, text_bytes, word_hashes
 from spanloom.operators.lineage import cut_lineage
 
 HOT_MEMBERS = 256
@@ -280,7 +280,7 @@ def _plausible(pairs: DataFrame, blobs: DataFrame, percent: int) -> DataFrame:
 def verify(pairs: DataFrame, blobs: DataFrame, size: int, percent: int) -> DataFrame:
     """The pairs ``(a, b)`` of set keys that are linked."""
     likely = cut_lineage(_plausible(pairs, blobs, percent))
-    compared = _with_words(likely, blobs).mapInArrow(_compare(size, percent), "a binary, b binary")
+    compared = _with_words(likely, blobs).mapInArrow(lean(_compare(size, percent)), "a binary, b binary")
     return cut_lineage(compared)
 
 
@@ -343,7 +343,7 @@ def _hot_pairs(rest: DataFrame, blobs: DataFrame, size: int, percent: int, hot:
     rows = rest.withColumn("band", band).withColumn("is_hot", F.col("members") > hot)
     counted = rows.filter("is_hot").groupBy("set_key", "band").agg(F.count("*").alias("n_hot"))
     sizes = blobs.join(counted.select("set_key").distinct(), "set_key").mapInArrow(
-        _sizes(size), "set_key binary, n_shingles int"
+        lean(_sizes(size)), "set_key binary, n_shingles int"
     )
     segments = sizes.withColumn("families", families_of("n_shingles")).select(
         "set_key", F.explode("families").alias("band", "m")
@@ -358,7 +358,7 @@ def _hot_pairs(rest: DataFrame, blobs: DataFrame, size: int, percent: int, hot:
 
     listed = cut_lineage(
         blobs.join(allocated.select("set_key").distinct(), "set_key").mapInArrow(
-            _delete_one(size, percent), "key long, place long, deleted boolean, set_key binary"
+            lean(_delete_one(size, percent)), "key long, place long, deleted boolean, set_key binary"
         )
     )
     costs = rows.select("set_key", "place", "members", "is_hot")
@@ -399,7 +399,7 @@ def _sizes(size: int):
 
 def describe_sets(docs: DataFrame, size: int = 3) -> DataFrame:
     """``doc_id``, the size and key of each document's set, and its compressed words; written."""
-    return cut_lineage(docs.select("doc_id", "text").mapInArrow(_describe(size), SET_DDL))
+    return cut_lineage(docs.select("doc_id", "text").mapInArrow(lean(_describe(size)), SET_DDL))
 
 
 def set_links(
@@ -414,7 +414,7 @@ def set_links(
     They connect all sets that the threshold connects; a pair whose members other links already
     connect may be missing.
     """
-    signed = docs.select("text").mapInArrow(_sign(size, percent), SIGNATURE_DDL)
+    signed = docs.select("text").mapInArrow(lean(_sign(size, percent)), SIGNATURE_DDL)
     group = Window.partitionBy("key", "place")
     # Equal sets of different batches give equal rows; they count once.
     shared = cut_lineage(
@@ -444,7 +444,7 @@ def set_links(
         F.col("centre").alias("a"), F.col("set_key").alias("b")
     )
     centred = cut_lineage(
-        _with_words(tried, blobs).mapInArrow(_compare_centre(size, percent), CENTRE_DDL)
+        _with_words(tried, blobs).mapInArrow(lean(_compare_centre(size, percent)), CENTRE_DDL)
     )
     links = centred.filter("linked").select("a", "b")
 

@@ -21,12 +21,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from spanloom.llm.words import encode_spans, pieces, text_bytes
+from spanloom.llm.words import encode_spans, lean, pieces, text_bytes
 from spanloom.operators.lineage import cut_lineage
 
 GROUP_PIECES = 100_000
 SLICE_BYTES = 4 << 20
-_CACHED_CHUNKS = 800_000
+CACHED_CHUNKS = 800_000
 _JOINED = 2000
 _PLAIN = re.compile(rb" (?:[!-~]|\xc3[\x80-\xbf])[^\n]*")
 
@@ -72,7 +72,8 @@ def _chunk_starts(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
 class ChunkCoder:
     """Token ids of texts; chunks that come again are encoded once."""
 
-    def __init__(self, path: str):
+    def __init__(self, path: str, cached_chunks: int = CACHED_CHUNKS):
+        self.cached_chunks = cached_chunks
         self.tokenizer = _tokenizer(path)
         self.line_feed = self._encode(["\n"])[0].ids[0]
         self._forget()
@@ -84,7 +85,7 @@ class ChunkCoder:
     def _slots(self, chunks: list[bytes]) -> np.ndarray:
         """Where each chunk's ids are: chunk ``i`` of the store is between ``ends[i]`` and the next."""
         missing = [c for c in chunks if c not in self.known]
-        if len(self.known) + len(missing) > _CACHED_CHUNKS:
+        if len(self.known) + len(missing) > self.cached_chunks:
             self._forget()
             missing = chunks
         plain = [c for c in missing if _PLAIN.fullmatch(c)]
@@ -139,9 +140,9 @@ class ChunkCoder:
 
 
 @cache
-def _coder(path: str) -> ChunkCoder:
+def _coder(path: str, cached_chunks: int) -> ChunkCoder:
     """One for all tasks of a worker process."""
-    return ChunkCoder(path)
+    return ChunkCoder(path, cached_chunks)
 
 
 def _with_end(ids: np.ndarray, end_id: int) -> np.ndarray:
@@ -150,7 +151,7 @@ def _with_end(ids: np.ndarray, end_id: int) -> np.ndarray:
 
 def _tokens(path: str | None, name: str, end_id: int):
     def tokens(batches):
-        coder = _coder(path or vocabulary_path(name))
+        coder = _coder(path or vocabulary_path(name), CACHED_CHUNKS)
         for part in pieces(batches, most=SLICE_BYTES):
             ids = [_with_end(i, end_id) for i in coder.encode(part["text"])]
             yield pa.RecordBatch.from_arrays(
@@ -160,9 +161,9 @@ def _tokens(path: str | None, name: str, end_id: int):
     return tokens
 
 
-def _cut(path: str | None, name: str, end_id: int, most: int):
+def _cut(path: str | None, name: str, end_id: int, most: int, cached_chunks: int):
     def cut(batches):
-        coder = _coder(path or vocabulary_path(name))
+        coder = _coder(path or vocabulary_path(name), cached_chunks)
         for part in pieces(batches, most=SLICE_BYTES):
             rows = []
             for doc_id, found in zip(part["doc_id"].to_pylist(), coder.encode(part["text"])):
@@ -273,15 +274,20 @@ def pack_documents(
     path: str | None = None,
     end_id: int = 0,
     group_pieces: int = GROUP_PIECES,
+    cached_chunks: int = CACHED_CHUNKS,
 ) -> DataFrame:
     """One row per piece: its place in its document and in a sequence of at most ``most`` tokens.
 
+    A worker remembers the ids of ``cached_chunks`` words at most (about 200 bytes each); with fewer
+    it needs less memory and encodes more words again.
+
     A document of more than ``most`` tokens is cut into pieces of ``most``, the first of which may
     be shorter. A null text counts as empty and is one piece of the end token. Repeated rows are
     packed as often as they come; an empty table gives an empty result.
     """
     chosen = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string"))
-    cut = cut_lineage(chosen.mapInArrow(_cut(path, vocabulary, end_id, most), PIECE_DDL))
+    pieces_of = _cut(path, vocabulary, end_id, most, cached_chunks)
+    cut = cut_lineage(chosen.mapInArrow(lean(pieces_of), PIECE_DDL))
     groups = max(1, -(-cut.count() // group_pieces))
     salt = F.xxhash64("doc_id", "piece", "ids_crc32", F.lit("pack"))
     dealt = cut.withColumn("bin_group", F.pmod(salt, F.lit(groups)))
