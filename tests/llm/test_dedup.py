@@ -117,17 +117,23 @@ def test_bytes(spark):
     assert remove_byte_repeats(table(spark, [])).count() == 0
 
 
-def test_merged_transforms():
+@pytest.mark.parametrize("length", [1, 6, 7, 20])
+@pytest.mark.parametrize("shard_bytes", [1 << 20, 64])
+def test_merged_transforms(monkeypatch, length, shard_bytes):
     import numpy as np
 
+    from spanloom.llm import suffix_dedup
+
+    monkeypatch.setattr(suffix_dedup, "SHARD_BYTES", shard_bytes)
     rng = random.Random(5)
-    for _ in range(30):
-        strings = list({bytes(rng.choices(b"ab", k=rng.randrange(6, 40))) for _ in range(20)})
+    for _ in range(15):
+        strings = [bytes(rng.choices(b"ab\xf4", k=rng.randrange(length, 40))) for _ in range(20)]
+        strings = list({*strings, *(s[3:] + strings[0] for s in strings)})
         ids = np.array([rng.randrange(100) for _ in strings])
-        found = least_ids(strings, ids, 6)
+        found = least_ids(strings, ids, length)
         for s, values in zip(strings, found):
             for i, value in enumerate(values):
-                assert value == min(d for t, d in zip(strings, ids) if s[i : i + 6] in t)
+                assert value == min(d for t, d in zip(strings, ids) if s[i : i + length] in t)
 
 
 def brute_components(rows, percent=90):
