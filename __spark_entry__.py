@@ -21,7 +21,7 @@ from spanloom.functions.traceparent import comment_traceparent  # noqa: E402
 from spanloom.operators.lineage import shared_folder  # noqa: E402
 from spanloom.operators.spans import operation_label, seconds  # noqa: E402
 from spanloom.schemas import SPAN_NODE_FIELDS, SPANS  # noqa: E402
-from spanloom.sources.derived import DEFAULT_MIN_DURATION_MS, MARKER, Capture  # noqa: E402
+from spanloom.sources.derived import DEFAULT_MIN_DURATION_MS, MARKER, Capture, DeepCapture  # noqa: E402
 
 try:  # the subpackage and the pipeline at the top come and go together
     import corpus_pipeline  # noqa: E402
@@ -185,6 +185,13 @@ def _plan_spans(c: Capture) -> DataFrame:
     return sl.plan_spans(walked, _in_context(_slow(c)), CONFIG)
 
 
+def spans_by_operators(c: Capture) -> DataFrame:
+    """Query spans and plan spans of the single operators; together they are the whole job."""
+    tables = sl.query_tables(_named_slow(c), counted=c.plan_nodes)
+    of_queries = sl.query_spans(_in_context(_slow(c)), tables, CONFIG)
+    return _plain(of_queries.unionByName(_plan_spans(c)))
+
+
 def plan_span_names(c: Capture) -> DataFrame:
     return _plan_spans(c).select("query_id", "node_id", "name")
 
@@ -347,6 +354,7 @@ _QUERIES: dict[str, Callable[[Capture], DataFrame]] = {
     "plan_spans": plan_spans,
     "emit_order": emit_order,
     "spans": lambda c: _plain(_spans(c)),
+    "spans_by_operators": spans_by_operators,
     "spans_from_nested": lambda c: _plain(sl.spans_from_nested(_nested(c), CONFIG)),
     "spans_split_trees": lambda c: _plain(_spans(c, SPLIT_CONFIG)),
     "query_attributes": query_attributes,
@@ -358,6 +366,13 @@ _QUERIES: dict[str, Callable[[Capture], DataFrame]] = {
     "stream_spans": stream_spans,
 }
 
+# The same operators over trees of which some exceed ``max_tree_nodes`` from sf0.01 on.
+_DEEP_QUERIES: dict[str, Callable[[Capture], DataFrame]] = {
+    "plan_tables_capped_deep": plan_tables_capped,
+    "query_tables_deep": query_tables,
+    "spans_deep": lambda c: _plain(_spans(c)),
+}
+
 
 def entry(spark: SparkSession) -> DataFrame:
     """The whole job over the smallest tables."""
@@ -365,10 +380,11 @@ def entry(spark: SparkSession) -> DataFrame:
 
 
 def queries() -> dict[str, Query]:
-    def bind(build: Callable[[Capture], DataFrame]) -> Query:
-        return lambda spark, sf_dir: build(Capture(spark, sf_dir))
+    def bind(build: Callable[[Capture], DataFrame], capture: type[Capture] = Capture) -> Query:
+        return lambda spark, sf_dir: build(capture(spark, sf_dir))
 
     found: dict[str, Query] = {name: bind(build) for name, build in _QUERIES.items()}
+    found |= {name: bind(build, DeepCapture) for name, build in _DEEP_QUERIES.items()}
     if corpus is not None:
         found |= corpus.QUERIES | {"pipeline": corpus_pipeline.run}
     return found

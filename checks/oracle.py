@@ -7,6 +7,8 @@ from __future__ import annotations
 
 from spanloom.sources.derived import (
     CHECK_MICROS,
+    DEEP_PLAN_NODES_SQL,
+    DEEP_RELATIONS_SQL,
     EXECUTIONS_SQL,
     NAMESPACES_SQL,
     PLAN_NODES_SQL,
@@ -207,6 +209,12 @@ _PARTS: dict[str, tuple[list[str], str]] = {
     ),
 }
 
+# Parts of the capture with larger trees.
+_DEEP_PARTS: dict[str, tuple[list[str], str]] = {
+    "plan_nodes": ([], DEEP_PLAN_NODES_SQL.replace("{lineitem}", "lineitem")),
+    "relations": ([], DEEP_RELATIONS_SQL.replace("{supplier}", "supplier")),
+}
+
 _QUERY_KEYS = [
     ("db.operation", "s", "db_operation"),
     ("db.statement", "s", "db_statement"),
@@ -263,19 +271,20 @@ def _exploded(source: str, keys: list[tuple[str, str, str]]) -> str:
     return " UNION ALL ".join(row(i, *k) for i, k in enumerate(keys))
 
 
-def _with(needs: list[str], select: str) -> str:
+def _with(needs: list[str], select: str, deep: bool = False) -> str:
     """``select`` preceded by what it needs, in order of definition."""
+    texts = _PARTS | _DEEP_PARTS if deep else _PARTS
     wanted: set[str] = set()
 
     def add(name: str) -> None:
         if name not in wanted:
             wanted.add(name)
-            for need in _PARTS[name][0]:
+            for need in texts[name][0]:
                 add(need)
 
     for need in needs:
         add(need)
-    parts = ", ".join(f"{n} AS ({_PARTS[n][1]})" for n in _PARTS if n in wanted)
+    parts = ", ".join(f"{n} AS ({texts[n][1]})" for n in texts if n in wanted)
     return f"WITH RECURSIVE {parts} {select}"
 
 
@@ -347,6 +356,12 @@ def statements() -> dict[str, str]:
         "plan_spans": _with(["plan_span"], f"SELECT {_PLAN_SPAN_COLUMNS} FROM plan_span"),
         "emit_order": _with(["spans"], "SELECT query_id, node_id, level, emit_order FROM spans"),
         "spans": spans,
+        "spans_by_operators": spans,
+        "spans_deep": _with(["spans"], "SELECT * FROM spans", deep=True),
+        "query_tables_deep": _with(["roots"], "SELECT query_id, tables FROM roots", deep=True),
+        "plan_tables_capped_deep": _with(
+            ["capped"], "SELECT query_id, node_id, plan_tables FROM capped", deep=True
+        ),
         "spans_from_nested": spans,
         "spans_split_trees": spans,
         "subtree_tables_joined": _with(

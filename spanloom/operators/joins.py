@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import or_
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -29,13 +32,15 @@ def checked_join(
 ) -> DataFrame:
     """Join on ``on``: broadcast ``lookup`` when its measured size allows, else salt the keys.
 
-    Salting spreads the rows of a hot or null key over ``salts`` tasks by the columns ``spread``;
-    ``lookup`` is repeated once per salt. Both ways give the same rows.
+    Salting spreads the rows of a hot key over ``salts`` tasks, and those of a null key over all, by
+    the columns ``spread``; ``lookup`` is repeated once per salt. Both ways give the same rows.
     """
     if measured_bytes(lookup) <= max_broadcast_bytes:
         return large.join(F.broadcast(lookup), on, how)
-    salt = F.pmod(F.xxhash64(*spread), F.lit(salts)).cast("int")
-    every_salt = F.explode(F.sequence(F.lit(0), F.lit(salts - 1)))
+    spread_hash = F.xxhash64(*spread)
+    no_key = reduce(or_, (F.col(c).isNull() for c in on))  # meets nothing, so it may go anywhere
+    salt = F.when(no_key, spread_hash).otherwise(F.pmod(spread_hash, F.lit(salts)))
+    every_salt = F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(salts - 1).cast("bigint")))
     return (
         large.withColumn("_salt", salt)
         .join(lookup.withColumn("_salt", every_salt), [*on, "_salt"], how)

@@ -233,22 +233,32 @@ def subtree_tables(
 def query_tables(
     plan_nodes: DataFrame, config: SpanConfig = SpanConfig(), counted: DataFrame | None = None
 ) -> DataFrame:
-    """Per query with a plan: the sorted distinct ``tables`` of its whole tree."""
+    """Per query with a plan: the sorted distinct ``tables`` of its whole tree, and how many of its
+    nodes are visible (``shown``)."""
     small, large = largetrees.split(plan_nodes, config, counted)
     result = walked_trees(gather_trees(small, TREE_FIELDS)).select(
-        "query_id", sorted_tables(F.col("names")).alias("tables")
+        "query_id",
+        sorted_tables(F.col("names")).alias("tables"),
+        F.size(F.filter("walk", lambda item: item["visible"])).cast("bigint").alias("shown"),
     )
     if large is None:
         return result
-    return result.unionByName(large_query_tables(largetrees.place(large).nodes))
+    nodes = largetrees.place(large).nodes
+    return result.unionByName(large_query_tables(nodes).join(large_shown(nodes), "query_id"))
 
 
 def sorted_tables(names: Column) -> Column:
     return F.sort_array(F.array_except(names, F.array(F.lit(None).cast("string"))))
 
 
+def large_shown(placed_nodes: DataFrame) -> DataFrame:
+    """Per query the number of its visible nodes."""
+    last = F.coalesce(F.max("visible_position"), F.lit(0).cast("bigint"))
+    return placed_nodes.groupBy("query_id").agg(last.alias("shown"))
+
+
 def large_query_tables(placed_nodes: DataFrame) -> DataFrame:
-    """:func:`query_tables` for trees that do not fit one row; a name is gathered once per query."""
+    """The tables of :func:`query_tables` for trees that do not fit one row; a name is gathered once per query."""
     return (
         placed_nodes.select("query_id", "table_name")
         .distinct()

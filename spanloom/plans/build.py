@@ -124,11 +124,8 @@ def _spans_of_large_trees(
         max_broadcast_bytes=config.max_broadcast_bytes,
         salts=config.join_salts,
     )
-    shown = placed.nodes.groupBy("query_id").agg(
-        F.coalesce(F.max("visible_position"), F.lit(0)).alias("shown")
-    )
     query_rows = prepared.join(plantree.large_query_tables(placed.nodes), "query_id").join(
-        shown, "query_id"
+        plantree.large_shown(placed.nodes), "query_id"
     )
     return project_spans(
         as_plan_rows(plan_rows).unionByName(as_query_rows(query_rows)), config

@@ -38,12 +38,12 @@ FROM (SELECT *, concat('00-', md5(concat('t', CAST(o_orderkey AS VARCHAR(20)))),
         substr(md5(concat('s', CAST(o_orderkey AS VARCHAR(20)))), 1, 16), '-01') AS tp FROM {orders}) o
 """
 
-PLAN_NODES_SQL = """
+_NODES_SQL = """
 SELECT query_id, node_id,
   CASE WHEN node_id = 1 THEN NULL ELSE CAST(floor(node_id / 2) AS INT) END AS parent_node_id,
   CASE WHEN node_id = 1 THEN NULL WHEN node_id % 2 = 0 THEN 'L' ELSE 'R' END AS side,
   plan_type, concat(plan_type, 'State') AS state_type,
-  CASE WHEN plan_type = 'T_FunctionScan' THEN NULL WHEN l_partkey % 20 = 0 THEN l_suppkey + 1000000 ELSE l_suppkey END AS relation_oid,
+  CASE WHEN plan_type = 'T_FunctionScan' THEN NULL WHEN l_partkey % 20 = 0 THEN {relation} + 1000000 ELSE {relation} END AS relation_oid,
   NOT (l_returnflag = 'R' AND l_quantity > 45) AS instrumented,
   l_tax * 10 AS startup_cost, l_extendedprice AS total_cost, l_quantity * 10 AS plan_rows,
   CAST(8 * l_linenumber AS INT) AS width_bytes,
@@ -56,10 +56,24 @@ FROM (SELECT *,
     CASE CAST(l_linenumber AS INT) WHEN 1 THEN 'T_HashJoin' WHEN 2 THEN 'T_SeqScan' WHEN 3 THEN 'T_IndexScan' WHEN 4 THEN 'T_Sort'
       WHEN 5 THEN 'T_BitmapHeapScan' WHEN 6 THEN 'T_FunctionScan' ELSE 'T_SeqScan' END AS plan_type,
     CAST(row_number() OVER (PARTITION BY query_id ORDER BY l_linenumber, l_partkey, l_suppkey, l_quantity, l_extendedprice,
-      l_discount, l_tax, l_returnflag, l_linestatus, l_shipdate) AS INT) AS node_id
-  FROM (SELECT *, l_orderkey AS query_id FROM {lineitem}) l) n
+      l_discount, l_tax, l_returnflag, l_linestatus, l_shipdate, l_orderkey) AS INT) AS node_id
+  FROM (SELECT *, {query_id} AS query_id FROM {lineitem}) l) n
 """
 
+PLAN_NODES_SQL = _NODES_SQL.replace("{query_id}", "l_orderkey").replace("{relation}", "l_suppkey")
+
+# Five queries share a fourth of all nodes, so their trees grow with the input; the others have some
+# 20 nodes each. Trees have more tables than a span lists, and a seventh of the names are too long.
+DEEP_PLAN_NODES_SQL = _NODES_SQL.replace(
+    "{query_id}", "CASE WHEN l_orderkey % 4 = 0 THEN l_suppkey % 5 + 1 ELSE l_partkey + 100 END"
+).replace("{relation}", "(l_orderkey % 50 + 1)")
+
+DEEP_RELATIONS_SQL = (
+    "SELECT s_suppkey AS relation_oid, CASE WHEN s_suppkey % 7 = 0 "
+    "THEN concat(s_name, repeat('é', 30)) ELSE s_name END AS relation_name, "
+    "s_nationkey AS namespace_oid FROM {supplier}"
+)
+
 RELATIONS_SQL = (
     "SELECT s_suppkey AS relation_oid, s_name AS relation_name, "
     "CASE WHEN s_nationkey < 5 THEN s_nationkey + 1000 ELSE s_nationkey END AS namespace_oid "
@@ -98,3 +112,15 @@ class Capture:
     @property
     def namespaces(self) -> DataFrame:
         return self.spark.sql(NAMESPACES_SQL, nation=self.table("nation"))
+
+
+class DeepCapture(Capture):
+    """The same executions with fewer and larger plan trees over other tables."""
+
+    @property
+    def plan_nodes(self) -> DataFrame:
+        return self.spark.sql(DEEP_PLAN_NODES_SQL, lineitem=self.table("lineitem"))
+
+    @property
+    def relations(self) -> DataFrame:
+        return self.spark.sql(DEEP_RELATIONS_SQL, supplier=self.table("supplier"))

@@ -61,6 +61,15 @@ def test_parquet_is_written_by_date(spark, tmp_path):
         write_spans(spans, path, "csv")
 
 
+def test_a_rerun_replaces_its_dates(spark, tmp_path):
+    path = str(tmp_path / "spans")
+    write_spans(spans_from_nested(nested(spark, range(1, 4)), CONFIG), path)
+    again = spans_from_nested(nested(spark, range(2, 4)), CONFIG)
+    write_spans(again, path, mode="replace")
+    write_spans(again, path, mode="replace")
+    assert read_spans(spark, path) == rows(spans_from_nested(nested(spark, range(1, 4)), CONFIG))
+
+
 def test_stream_equals_batch_and_restarts_add_nothing(spark, tmp_path):
     landing, sink, offsets = (str(tmp_path / n) for n in ("landing", "sink", "offsets"))
     source = nested(spark, range(1, 7))
