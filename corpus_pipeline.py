@@ -15,13 +15,14 @@ from spanloom.llm.jaccard_join import jaccard_components
 from spanloom.llm.mixing import repeat_documents
 from spanloom.llm.packing import pack_documents
 from spanloom.llm.quality import quality_rules
+from spanloom.llm.words import small_batches
 from spanloom.operators.joins import checked_join
 from spanloom.operators.lineage import cut_lineage
 
 # Keys of rejected rows are broadcast up to this measured size, else joined by a shuffle.
 MAX_BROADCAST_BYTES, SALTS = 16 << 20, 32
-# Workers stay alive between stages, so packing holds fewer words here than on its own.
-CACHED_CHUNKS = 200_000
+# Workers stay alive between stages, so packing holds fewer words and bytes here than on its own.
+CACHED_CHUNKS, SLICE_BYTES = 200_000, 1 << 20
 
 
 def _key(text: Column | None = None) -> Column:
@@ -65,7 +66,8 @@ def exact(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of linked documents the one with the least id."""
     least = F.col("doc_id").eqNullSafe(F.col("component_id"))
-    return _without(docs, jaccard_components(docs), least)
+    with small_batches(spark):
+        return _without(docs, jaccard_components(docs), least)
 
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -75,7 +77,8 @@ def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pieces of the documents and their places in sequences."""
-    return pack_documents(docs, cached_chunks=CACHED_CHUNKS)
+    with small_batches(spark):
+        return pack_documents(docs, cached_chunks=CACHED_CHUNKS, slice_bytes=SLICE_BYTES)
 
 
 STAGES = [

@@ -161,10 +161,12 @@ def _tokens(path: str | None, name: str, end_id: int):
     return tokens
 
 
-def _cut(path: str | None, name: str, end_id: int, most: int, cached_chunks: int):
+def _cut(
+    path: str | None, name: str, end_id: int, most: int, cached_chunks: int, slice_bytes: int
+):
     def cut(batches):
         coder = _coder(path or vocabulary_path(name), cached_chunks)
-        for part in pieces(batches, most=SLICE_BYTES):
+        for part in pieces(batches, most=slice_bytes):
             rows = []
             for doc_id, found in zip(part["doc_id"].to_pylist(), coder.encode(part["text"])):
                 ids = _with_end(found, end_id)
@@ -275,18 +277,19 @@ def pack_documents(
     end_id: int = 0,
     group_pieces: int = GROUP_PIECES,
     cached_chunks: int = CACHED_CHUNKS,
+    slice_bytes: int = SLICE_BYTES,
 ) -> DataFrame:
     """One row per piece: its place in its document and in a sequence of at most ``most`` tokens.
 
-    A worker remembers the ids of ``cached_chunks`` words at most (about 200 bytes each); with fewer
-    it needs less memory and encodes more words again.
+    A worker takes texts in slices of ``slice_bytes`` and remembers the ids of ``cached_chunks`` words
+    at most (about 200 bytes each); with less of both it needs less memory and more time.
 
     A document of more than ``most`` tokens is cut into pieces of ``most``, the first of which may
     be shorter. A null text counts as empty and is one piece of the end token. Repeated rows are
     packed as often as they come; an empty table gives an empty result.
     """
     chosen = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string"))
-    pieces_of = _cut(path, vocabulary, end_id, most, cached_chunks)
+    pieces_of = _cut(path, vocabulary, end_id, most, cached_chunks, slice_bytes)
     cut = cut_lineage(chosen.mapInArrow(lean(pieces_of), PIECE_DDL))
     groups = max(1, -(-cut.count() // group_pieces))
     salt = F.xxhash64("doc_id", "piece", "ids_crc32", F.lit("pack"))
