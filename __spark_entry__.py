@@ -21,6 +21,7 @@ from spanloom.functions.traceparent import comment_traceparent  # noqa: E402
 from spanloom.operators.lineage import shared_folder  # noqa: E402
 from spanloom.operators.spans import operation_label, seconds  # noqa: E402
 from spanloom.schemas import SPAN_NODE_FIELDS, SPANS  # noqa: E402
+from spanloom.sources.intake import NestedPlans  # noqa: E402
 from spanloom.sources.derived import DEFAULT_MIN_DURATION_MS, MARKER, Capture, DeepCapture  # noqa: E402
 
 try:  # the subpackage and the pipeline at the top come and go together
@@ -66,11 +67,18 @@ def _spans(c: Capture, config: sl.SpanConfig = CONFIG) -> DataFrame:
     return sl.build_spans(c.executions, c.plan_nodes, c.relations, c.namespaces, config)
 
 
-def _nested(c: Capture) -> DataFrame:
+def _nested(c: Capture) -> NestedPlans:
     nodes = _named(c).select("query_id", *SPAN_NODE_FIELDS)
     return sl.nest_plans(c.executions, nodes)
 
 
+def _with_rest(c: Capture, spans: DataFrame, rest: DataFrame | None) -> DataFrame:
+    """``spans`` of nested rows and those of plans that stayed flat."""
+    if rest is None:
+        return spans
+    return spans.unionByName(sl.spans_from_nodes(c.executions, rest, CONFIG))
+
+
 def _joined(name: str) -> Column:
     return F.array_join(name, ", ").alias(name)
 
@@ -130,16 +138,26 @@ def relation_names(c: Capture) -> DataFrame:
 
 
 def nested_plans(c: Capture) -> DataFrame:
-    """One number of each kind over the nested nodes of every execution."""
+    """One number of each kind over the nodes of every execution, nested or left flat."""
     node_ns = F.aggregate(
         "plan", F.lit(0).cast("bigint"), lambda total, node: total + node["total_ns"]
     )
-    return sl.nest_plans(c.executions, c.plan_nodes).select(
+    nested, rest = sl.nest_plans(c.executions, c.plan_nodes)
+    result = nested.select(
         "query_id",
         F.size("plan").cast("bigint").alias("nodes"),
         node_ns.alias("node_ns"),
         F.array_max("plan.node_id").alias("last_node"),
     )
+    if rest is None:
+        return result
+    timed = c.executions.filter(F.col("total_ns").isNotNull()).select("query_id")
+    of_rest = rest.groupBy("query_id").agg(
+        F.count(F.lit(1)).alias("nodes"),
+        F.sum("total_ns").alias("node_ns"),
+        F.max("node_id").alias("last_node"),
+    )
+    return result.unionByName(of_rest.join(timed, "query_id", "left_semi"))
 
 
 def subtree_tables(c: Capture, config: sl.SpanConfig = CONFIG) -> DataFrame:
@@ -319,7 +337,8 @@ def stream_spans(c: Capture) -> DataFrame:
     """Nested executions landed as files, streamed to Parquet spans and read back."""
     spark = c.spark
     landing, sink = _scratch(spark, "landing"), _scratch(spark, "streamed")
-    _nested(c).write.parquet(landing)
+    nested, rest = _nested(c)
+    nested.write.parquet(landing)
     stream = sl.read_executions(spark, landing, streaming=True, maxFilesPerTrigger="4")
     query = sl.stream_spans(
         stream,
@@ -330,7 +349,12 @@ def stream_spans(c: Capture) -> DataFrame:
         available_now=True,
     )
     query.awaitTermination()
-    return _plain(spark.read.schema(SPANS).parquet(sink))
+    return _plain(_with_rest(c, spark.read.schema(SPANS).parquet(sink), rest))
+
+
+def spans_from_nested(c: Capture) -> DataFrame:
+    nested, rest = _nested(c)
+    return _plain(_with_rest(c, sl.spans_from_nested(nested, CONFIG), rest))
 
 
 _QUERIES: dict[str, Callable[[Capture], DataFrame]] = {
@@ -355,7 +379,7 @@ _QUERIES: dict[str, Callable[[Capture], DataFrame]] = {
     "emit_order": emit_order,
     "spans": lambda c: _plain(_spans(c)),
     "spans_by_operators": spans_by_operators,
-    "spans_from_nested": lambda c: _plain(sl.spans_from_nested(_nested(c), CONFIG)),
+    "spans_from_nested": spans_from_nested,
     "spans_split_trees": lambda c: _plain(_spans(c, SPLIT_CONFIG)),
     "query_attributes": query_attributes,
     "plan_attributes": plan_attributes,
@@ -370,6 +394,8 @@ _QUERIES: dict[str, Callable[[Capture], DataFrame]] = {
 _DEEP_QUERIES: dict[str, Callable[[Capture], DataFrame]] = {
     "plan_tables_capped_deep": plan_tables_capped,
     "query_tables_deep": query_tables,
+    "nested_plans_deep": nested_plans,
+    "spans_from_nested_deep": spans_from_nested,
     "spans_deep": lambda c: _plain(_spans(c)),
 }
 

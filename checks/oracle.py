@@ -296,6 +296,9 @@ _PLAN_SPAN_COLUMNS = """query_id, node_id, trace_id, span_id, parent_span_id, na
   plan_rows, width_bytes, parallel_aware, parallel_safe, async_capable, startup_seconds,
   total_seconds, rows, secondary_rows, loops, filtered_scan_join, filtered_other,
   service AS service_name"""
+_NESTED = """SELECT query_id, count(*) AS nodes, CAST(sum(n.total_ns) AS BIGINT) AS node_ns,
+  CAST(max(n.node_id) AS INTEGER) AS last_node
+FROM executions JOIN plan_nodes n USING (query_id) GROUP BY query_id"""
 _NUMBERED = f"""SELECT *, CAST((row_number() OVER (PARTITION BY service_name, bucket
     ORDER BY query_id, emit_order) - 1) // {BATCH_SPANS} AS INTEGER) AS batch
   FROM (SELECT *, CAST((CAST('0x' || substr(md5(CAST(query_id AS VARCHAR)), 1, 8) AS BIGINT)
@@ -304,6 +307,7 @@ _NUMBERED = f"""SELECT *, CAST((row_number() OVER (PARTITION BY service_name, bu
 
 def statements() -> dict[str, str]:
     spans = _with(["spans"], "SELECT * FROM spans")
+    deep_spans = _with(["spans"], "SELECT * FROM spans", deep=True)
     return {
         "slow_executions": _with(
             ["slow"], "SELECT query_id, total_ns, min_duration_ms FROM slow"
@@ -328,12 +332,8 @@ def statements() -> dict[str, str]:
         ),
         "trace_context": _with(["context"], "SELECT * FROM context"),
         "relation_names": _with(["named"], "SELECT query_id, node_id, table_name FROM named"),
-        "nested_plans": _with(
-            ["executions", "plan_nodes"],
-            """SELECT query_id, count(*) AS nodes, CAST(sum(n.total_ns) AS BIGINT) AS node_ns,
-              CAST(max(n.node_id) AS INTEGER) AS last_node
-            FROM executions JOIN plan_nodes n USING (query_id) GROUP BY query_id""",
-        ),
+        "nested_plans": _with(["executions", "plan_nodes"], _NESTED),
+        "nested_plans_deep": _with(["executions", "plan_nodes"], _NESTED, deep=True),
         "subtree_tables": _with(
             ["subtrees"], "SELECT query_id, node_id, side_path, tables, visible FROM subtrees"
         ),
@@ -357,7 +357,8 @@ def statements() -> dict[str, str]:
         "emit_order": _with(["spans"], "SELECT query_id, node_id, level, emit_order FROM spans"),
         "spans": spans,
         "spans_by_operators": spans,
-        "spans_deep": _with(["spans"], "SELECT * FROM spans", deep=True),
+        "spans_deep": deep_spans,
+        "spans_from_nested_deep": deep_spans,
         "query_tables_deep": _with(["roots"], "SELECT query_id, tables FROM roots", deep=True),
         "plan_tables_capped_deep": _with(
             ["capped"], "SELECT query_id, node_id, plan_tables FROM capped", deep=True

@@ -7,7 +7,7 @@ from spanloom.operators.otlp import otlp_batches, with_attributes, with_resource
 from spanloom.operators.plantree import query_tables, subtree_tables, walk_plans
 from spanloom.operators.slow import slow_executions
 from spanloom.operators.spans import plan_spans, query_spans
-from spanloom.plans.build import build_spans, spans_from_nested
+from spanloom.plans.build import build_spans, spans_from_nested, spans_from_nodes
 from spanloom.sinks.files import write_spans
 from spanloom.sources.intake import nest_plans, read_executions, read_plan_nodes
 from spanloom.streaming.continuous import stream_spans
@@ -26,6 +26,7 @@ __all__ = [
     "resolve_relations",
     "slow_executions",
     "spans_from_nested",
+    "spans_from_nodes",
     "stream_spans",
     "subtree_tables",
     "walk_plans",

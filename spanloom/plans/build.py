@@ -64,16 +64,40 @@ def _spans_of_trees(trees: DataFrame, config: SpanConfig) -> DataFrame:
 
 
 def spans_from_nested(executions: DataFrame, config: SpanConfig = SpanConfig()) -> DataFrame:
-    """Spans of executions that carry their ``plan`` with table names: no shuffle, batch or stream.
+    """Spans of executions that carry their ``plan`` with table names: no shuffle for usual plans.
 
-    Executions without timings or without a plan root give no span.
+    Executions without timings or without a plan root give no span. Plans above
+    ``config.max_tree_nodes`` are taken apart and walked by joins; a streaming input is not looked at
+    beforehand and walks every plan in its row, see :func:`spanloom.stream_spans`.
     """
     # The threshold comes first: plans of fast executions are not looked at.
     chosen = select_executions(executions, config).filter(
         F.exists("plan", lambda node: node["parent_node_id"].isNull())
     )
     prepared = prepare_executions(chosen, config, keep=["plan"])
-    return _spans_of_trees(prepared, config)
+    if executions.isStreaming:
+        return _spans_of_trees(prepared, config)
+    oversized = F.size("plan") > config.max_tree_nodes
+    large = cut_lineage(prepared.filter(oversized))
+    if large.isEmpty():
+        return _spans_of_trees(prepared, config)
+    nodes = cut_lineage(large.select("query_id", F.inline("plan")))
+    small = _spans_of_trees(prepared.filter(~oversized), config)
+    return small.unionByName(_spans_of_large_trees(large.drop("plan"), nodes, config))
+
+
+def spans_from_nodes(
+    executions: DataFrame, named_nodes: DataFrame, config: SpanConfig = SpanConfig()
+) -> DataFrame:
+    """Spans of flat plan nodes with table names, by joins whatever the size of a tree.
+
+    Meant for the few plans that :func:`spanloom.nest_plans` leaves flat.
+    """
+    prepared = prepare_executions(select_executions(executions, config), config)
+    ids = named_nodes.select("query_id").distinct()
+    own = cut_lineage(prepared.join(ids, "query_id", "left_semi"))
+    slow = largetrees.nodes_of(named_nodes, own.select("query_id"), config)
+    return _spans_of_large_trees(own, cut_lineage(slow), config)
 
 
 def build_spans(

@@ -25,7 +25,7 @@ def nested(spark, query_ids):
     runs = [{"query_id": q, "finished_unix_nano": (q + 1) * DAY} for q in query_ids]
     nodes = plan_nodes(spark, *(n for q in query_ids for n in tree(q, 4)))
     named = resolve_relations(nodes, *catalog(spark)).select("query_id", *SPAN_NODE_FIELDS)
-    return nest_plans(executions(spark, *runs), named)
+    return nest_plans(executions(spark, *runs), named).rows
 
 
 def rows(df):

@@ -1,6 +1,7 @@
 """Both routes through a tree against a plain recursion."""
 
 import random
+from collections import Counter
 
 import pytest
 
@@ -152,11 +153,16 @@ def test_query_tables_on_both_routes(nodes):
 
 def test_nested_plans(spark, nodes):
     runs = executions(spark, {"query_id": 1}, {"query_id": 2, "total_ns": None}, {"query_id": 999})
-    rows = nest_plans(runs, nodes).collect()
+    rows = nest_plans(runs, nodes).rows.collect()
     assert [r.query_id for r in rows] == [1]
     assert len(rows[0].plan) == sum(n["query_id"] == 1 for n in forest())
 
 
-def test_unbounded_plans_are_not_nested(spark, nodes):
-    with pytest.raises(ValueError, match="build_spans"):
-        nest_plans(executions(spark, {}), nodes, SPLIT)
+def test_unbounded_plans_stay_flat(spark, nodes):
+    whole, rest = nest_plans(executions(spark, {}), nodes, SPLIT)
+    assert all(len(r.plan) <= SPLIT.max_tree_nodes for r in whole.collect())
+    counts = Counter(n["query_id"] for n in forest())
+    assert Counter(r.query_id for r in rest.collect()) == Counter(
+        {q: n for q, n in counts.items() if n > SPLIT.max_tree_nodes}
+    )
+    assert nest_plans(executions(spark, {}), nodes).rest is None

@@ -121,12 +121,17 @@ def test_all_routes_agree(spark):
                       for n in nodes) for q in (1, 2, 3, 5)}
     assert len(whole) == sum(visible.values()) + len(visible)
 
-    from spanloom import nest_plans, resolve_relations
+    from spanloom import nest_plans, resolve_relations, spans_from_nodes
     from spanloom.schemas import SPAN_NODE_FIELDS
 
     named = resolve_relations(args[1], *args[2:]).select("query_id", *SPAN_NODE_FIELDS)
-    nested = spans_from_nested(nest_plans(args[0], named), CONFIG)
+    nested = spans_from_nested(nest_plans(args[0], named).rows, CONFIG)
     assert sorted(nested.collect(), key=repr) == whole
+    large_rows = spans_from_nested(nest_plans(args[0], named).rows, config)
+    assert sorted(large_rows.collect(), key=repr) == whole
+    small, rest = nest_plans(args[0], named, config)
+    both = spans_from_nested(small, config).unionByName(spans_from_nodes(args[0], rest, config))
+    assert sorted(both.collect(), key=repr) == whole
 
     ids = {(s.query_id, s.span_id): s for s in whole}
     assert len(ids) == len(whole)
