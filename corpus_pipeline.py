@@ -23,6 +23,8 @@ from spanloom.operators.lineage import cut_lineage
 MAX_BROADCAST_BYTES, SALTS = 16 << 20, 32
 # Workers stay alive between stages, so packing holds fewer words and bytes here than on its own.
 CACHED_CHUNKS, SLICE_BYTES = 200_000, 1 << 20
+# Near copies: sets of five words, of which two share 80 percent or more.
+NEAR_WORDS, NEAR_PERCENT = 5, 80
 
 
 def _key(text: Column | None = None) -> Column:
@@ -67,7 +69,7 @@ def near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of linked documents the one with the least id."""
     least = F.col("doc_id").eqNullSafe(F.col("component_id"))
     with small_batches(spark):
-        return _without(docs, jaccard_components(docs), least)
+        return _without(docs, jaccard_components(docs, NEAR_WORDS, NEAR_PERCENT), least)
 
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -47,6 +47,21 @@ def test_stages(spark, tmp_path):
     assert {tuple(r) for r in pieces} == {tuple(r) for r in taken}
 
 
+def test_near_takes_five_words_and_80_percent(spark):
+    def copy(first, edits, n=200):
+        words = [f"w{first}x{i}" for i in range(n)]
+        for k in range(edits):
+            words[10 + 20 * k] = f"edit{first}x{k}"
+        return " ".join(words)
+
+    block = copy(3, 0) + " " + " ".join(f"new{i}" for i in range(40))
+    texts = [copy(1, 0), copy(1, 4), copy(2, 0), copy(2, 5), copy(3, 0), block, copy(4, 0), copy(4, 0) + " " + copy(5, 0, 60)]
+    # With n - 4 sets of five words: 4 edits give 176 of 216, 5 give 171 of 221, the block 196 of 236.
+    rows = [(i, t, "en", "s", None, None) for i, t in enumerate(texts)]
+    kept = {r.doc_id for r in corpus_pipeline.near(spark, table(spark, rows), SF_DIR).collect()}
+    assert kept == {0, 2, 3, 4, 6, 7}
+
+
 def test_run(spark):
     assert corpus_pipeline.run(spark, SF_DIR).columns[:2] == ["doc_id", "piece"]
 
