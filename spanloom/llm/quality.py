@@ -10,6 +10,7 @@ so that a hot group is combined before its shuffle and ends as one row.
 
 from __future__ import annotations
 
+import math
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Window
@@ -23,6 +24,19 @@ COUNTS = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
 STATISTICS = ("z_length", "z_symbols", "z_lines", "z_repeats")
 FEW_REPEATS = 16
 _BINS = 64  # histogram bins per doubling of a squared distance
+FALSE_REJECTS = 1e-4  # share of normally distributed rows that the cutoff rejects
+
+
+def chi_square_cutoff(rate: float) -> float:
+    """The value that chi-square with four degrees of freedom exceeds with the chance ``rate``."""
+    low, high = 0.0, 1500.0
+    for _ in range(100):
+        middle = (low + high) / 2
+        if math.exp(-middle / 2) * (1 + middle / 2) > rate:
+            low = middle
+        else:
+            high = middle
+    return high
 
 
 @dataclass(frozen=True)
@@ -34,11 +48,12 @@ class QualityConfig:
     # Share of rows that the estimate rests on.
     support: float = 0.75
     steps: int = 4
-    # Smallest standard deviations, in units of the transformed statistics.
+    # Smallest standard deviations, in units of the transformed statistics. A rate of up to a half
+    # in one statistic alone must be able to pass the cutoff: 0.5 / floor ** 2 is above it.
     floors: tuple[float, ...] = (0.05, 0.05, 0.08, 0.08)
     # Squared robust distance beyond which a row is an outlier; medians are scaled to that of
     # chi-square with as many degrees as there are statistics.
-    cutoff: float = 80.0
+    cutoff: float = chi_square_cutoff(FALSE_REJECTS)
     max_broadcast_bytes: int = 8 << 20
     salts: int = 32
 

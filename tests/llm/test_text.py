@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from spanloom.llm.language import LanguageConfig, Vocabulary, identify_languages, word_scores
 from spanloom.llm.mixing import mix_sources
 from spanloom.llm.packing import OpenBins, best_fit_decreasing, pack_documents, tokenize, vocabulary_path
-from spanloom.llm.quality import QualityConfig, quality_rules
+from spanloom.llm.quality import QualityConfig, chi_square_cutoff, quality_rules
 from spanloom.llm.queries import RULES
 from spanloom.llm.secrets import scan_secrets
 from spanloom.llm.url_filters import UrlRule, filter_urls
@@ -132,6 +132,41 @@ def test_quality_outliers(spark):
     assert {r.doc_id for r in got if not r.kept} == set(range(1000, 1030))
 
 
+def test_quality_outliers_in_single_statistics(spark):
+    def words(doc, n=100):
+        return [f"w{doc:04d}{i:03d}" for i in range(n)]
+
+    def symbols(own, n):
+        return [w[:-1] + "#" if i < n else w for i, w in enumerate(own)]
+
+    def repeats(own, n):  # n repeated words: the first half of them comes again
+        return own[: len(own) - n // 2] + own[: n // 2]
+
+    def lines(own, n):  # one-word lines, which repeat no three words
+        return [w + "\nsamesame\n" if i < n else w for i, w in enumerate(own)]
+
+    rows = {i: words(i) for i in range(300)}
+    kept = {500: symbols(words(500), 4), 501: repeats(words(501), 10)}
+    rejected = {
+        600: [w * 2 for w in words(600)],
+        601: symbols(words(601), 12),
+        602: lines(words(602), 40),
+        603: repeats(words(603), 44),
+    }
+    together = repeats(words(604), 10)  # with the symbols an outlier, alone not
+    rejected[604] = together[:60] + symbols(together[60:], 4)
+    found = [(i, " ".join(w), "en", "s", None, None) for i, w in (rows | kept | rejected).items()]
+    got = quality_rules(table(spark, found)).collect()
+    assert not any(r.base_failed for r in got)
+    assert {r.doc_id for r in got if not r.kept} == set(rejected)
+
+
+def test_quality_cutoff_is_a_chi_square_quantile():
+    assert round(chi_square_cutoff(0.5), 4) == 3.3567 and round(chi_square_cutoff(0.001), 3) == 18.467
+    config = QualityConfig()
+    assert all(0.5 / floor**2 > config.cutoff for floor in config.floors)
+
+
 def test_urls(spark):
     urls = ["http://Www.Example.org/es/1?x", "https://a.org", "ftp://example.org/en/1#t", None,
             "no scheme/org/", "http://x.com/fr/a", "http://notexample.org/es/", "x://fr.com/de/?://q"]
