@@ -2,8 +2,8 @@
 
 Words of natural language are made of long tokens; random strings fall into tokens of one to three
 characters. The token-efficiency test therefore takes runs of key characters, leaves out those with
-a known harmless form (digests, UUIDs, dates and numbers, dotted or dashed names) and reports runs
-with few characters per token.
+a known harmless form (digests, UUIDs, dates and numbers) and reports runs with few characters per
+token. Names of plain words are told from letter-only keys by the same test.
 """
 
 from __future__ import annotations
@@ -33,14 +33,24 @@ ASSIGN_WORDS = ("password", "passwd", "secret", "token", "apikey", "api_key")
 
 MIN_RUN = 20
 MAX_CHARS_PER_TOKEN = 2.4
+# Of letters alone, lower-cased and without what joins them: long compounds have 2.3 and more.
+MAX_LETTERS_PER_TOKEN = 2.2
+LETTERS = re.compile(r"[A-Za-z]+(?:[/_=-]+[A-Za-z]+)*[/_=-]*")
+JOINTS = re.compile(r"[/_=-]+")
 RUN = re.compile(r"[A-Za-z0-9+/_=-]{%d,}" % MIN_RUN)
 
-# Harmless forms: hex digests of common lengths, UUIDs, numbers and dates, names of plain words.
+# Harmless forms: hex digests of common lengths, UUIDs, named digests in hex or base64, numbers and
+# dates.
+_HEX = r"[0-9a-fA-F]"
 KNOWN = re.compile(
-    r"(?:[0-9a-fA-F]{32}|[0-9a-fA-F]{40}|[0-9a-fA-F]{56}|[0-9a-fA-F]{64}|[0-9a-fA-F]{96}"
-    r"|[0-9a-fA-F]{128}|[0-9a-fA-F]{8}(?:-[0-9a-fA-F]{4}){3}-[0-9a-fA-F]{12}"
-    r"|(?:sha1|sha256|sha384|sha512|md5)[-=_][A-Za-z0-9+/=_-]+"
-    r"|[0-9+/_=-]+|[A-Za-z]+(?:[/_=-]+[A-Za-z]+)*[/_=-]*|[/_=-]+)"
+    rf"(?:{_HEX}{{32}}|{_HEX}{{40}}|{_HEX}{{56}}|{_HEX}{{64}}|{_HEX}{{96}}|{_HEX}{{128}}"
+    rf"|{_HEX}{{8}}(?:-{_HEX}{{4}}){{3}}-{_HEX}{{12}}"
+    rf"|md5[-=_](?:{_HEX}{{32}}|[A-Za-z0-9+/_-]{{22}}(?:==)?)"
+    rf"|sha1[-=_](?:{_HEX}{{40}}|[A-Za-z0-9+/_-]{{27}}=?)"
+    rf"|sha256[-=_](?:{_HEX}{{64}}|[A-Za-z0-9+/_-]{{43}}=?)"
+    rf"|sha384[-=_](?:{_HEX}{{96}}|[A-Za-z0-9+/_-]{{64}})"
+    rf"|sha512[-=_](?:{_HEX}{{128}}|[A-Za-z0-9+/_-]{{86}}(?:==)?)"
+    r"|[0-9+/_=-]+)"
 )
 
 SPAN_DDL = """doc_id long, n_assign long, n_access long, n_hex long, n_random long,
@@ -79,6 +89,15 @@ def base_spans(text: str) -> list[tuple[int, int, int]]:
     return found
 
 
+def _is_random(run: str, encoding, most: float) -> bool:
+    """Whether tokens compress the run little; names are judged by their words in lower case."""
+    if not LETTERS.fullmatch(run):
+        return len(run) <= most * len(encoding.encode_ordinary(run))
+    words = [w.lower() for w in JOINTS.split(run) if w]
+    tokens = sum(len(encoding.encode_ordinary(" " + w)) for w in words)
+    return sum(map(len, words)) <= min(most, MAX_LETTERS_PER_TOKEN) * tokens
+
+
 def random_spans(text: str, encoding, base, most: float) -> list[tuple[int, int, int]]:
     """Runs outside the base spans with at most ``most`` characters per token."""
     found = []
@@ -86,7 +105,7 @@ def random_spans(text: str, encoding, base, most: float) -> list[tuple[int, int,
         start, end = m.span()
         if KNOWN.fullmatch(m.group()) or any(s < end and start < e for s, _, e in base):
             continue
-        if end - start <= most * len(encoding.encode_ordinary(m.group())):
+        if _is_random(m.group(), encoding, most):
             found.append((start, 3, end))
     return found
 

@@ -1,8 +1,10 @@
 """Secrets, languages, quality rules, URLs, packing and mixing."""
 
+import base64
 import hashlib
 import random
 import re
+import string
 import zlib
 
 import numpy as np
@@ -14,7 +16,7 @@ from spanloom.llm.mixing import mix_sources
 from spanloom.llm.packing import OpenBins, best_fit_decreasing, pack_documents, tokenize, vocabulary_path
 from spanloom.llm.quality import QualityConfig, chi_square_cutoff, quality_rules
 from spanloom.llm.queries import RULES
-from spanloom.llm.secrets import scan_secrets
+from spanloom.llm.secrets import _encoding, base_spans, random_spans, scan_secrets
 from spanloom.llm.url_filters import UrlRule, filter_urls
 from tests.llm.data import documents, random_words, sort_key, table
 
@@ -55,6 +57,29 @@ def test_secrets(spark):
     assert scan_secrets(rows.limit(0)).count() == 0
 
 
+def random_of(text):
+    found = random_spans(text, _encoding(vocabulary_path("byte_bpe_50k.tiktoken")), base_spans(text), 2.4)
+    return [text[a:b] for a, _, b in sorted(found)]
+
+
+def random_keys(n, length, seed=3):
+    rng = random.Random(seed)
+    alphabets = [string.ascii_lowercase, string.ascii_uppercase, string.ascii_letters]
+    return ["".join(rng.choices(alphabets[i % 3], k=length)) for i in range(n)]
+
+
+def test_letter_only_keys_are_found_and_names_are_not():
+    keys = random_keys(300, 24)
+    assert sum(random_of(f"see {k} there") == [k] for k in keys) >= 297
+    names = ["Geschwindigkeitsbegrenzung", "Donaudampfschifffahrtsgesellschaft",
+             "POP_JUMP_FORWARD_IF_NOT_NONE", "anticonstitutionnellement", "GRID-UNIT-HEIGHT-PIXELS",
+             "internationalization/of/everything", "Kraftfahrzeughaftpflichtversicherung"]
+    assert [n for n in names if random_of(n)] == []
+    digest = hashlib.sha256(b"x").digest()
+    assert random_of("sha256-" + base64.b64encode(digest).decode()) == []
+    assert random_of("md5-Zk3vQ9xT2mLp8RwY5bNc7HdJ4sGf6KqWx1Ve0Tu9") != []
+
+
 def test_forward_sums_all_segmentations():
     vocabulary = Vocabulary(vocabulary_path("byte_bpe_multi_50k.tiktoken"))
     rng = np.random.default_rng(2)
