@@ -3,7 +3,8 @@
 Words of natural language are made of long tokens; random strings fall into tokens of one to three
 characters. The token-efficiency test therefore takes runs of key characters, leaves out those with
 a known harmless form (digests, UUIDs, dates and numbers) and reports runs with few characters per
-token. Names of plain words are told from letter-only keys by the same test.
+token. Names of plain words are told from letter-only keys by the same test. Where a run as a whole
+passes, its parts between ``/ = _ -`` and its windows of ``MIN_RUN`` characters are tested too.
 """
 
 from __future__ import annotations
@@ -12,6 +13,7 @@ import base64
 import hashlib
 import re
 from functools import cache
+from itertools import accumulate
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -36,6 +38,9 @@ MAX_CHARS_PER_TOKEN = 2.4
 # Of letters alone, lower-cased and without what joins them: long compounds have 2.3 and more.
 MAX_LETTERS_PER_TOKEN = 2.2
 LETTERS = re.compile(r"[A-Za-z]+(?:[/_=-]+[A-Za-z]+)*[/_=-]*")
+# Of windows inside a longer run, where the lowest of many counts.
+MAX_WINDOW_CHARS_PER_TOKEN = 2.0
+PART = re.compile(r"[A-Za-z0-9+]{%d,}" % MIN_RUN)
 JOINTS = re.compile(r"[/_=-]+")
 RUN = re.compile(r"[A-Za-z0-9+/_=-]{%d,}" % MIN_RUN)
 
@@ -53,6 +58,12 @@ KNOWN = re.compile(
     r"|[0-9+/_=-]+)"
 )
 
+# Known forms as a field of a longer run; numbers from eight characters.
+INNER = re.compile(
+    rf"(?<![A-Za-z0-9])(?:{KNOWN.pattern.removesuffix('|[0-9+/_=-]+)')}|[0-9][0-9/_=-]{{6,}}[0-9]))"
+    r"(?![A-Za-z0-9])"
+)
+
 SPAN_DDL = """doc_id long, n_assign long, n_access long, n_hex long, n_random long,
   base_sha256 string, spans string"""
 
@@ -98,15 +109,74 @@ def _is_random(run: str, encoding, most: float) -> bool:
     return sum(map(len, words)) <= min(most, MAX_LETTERS_PER_TOKEN) * tokens
 
 
+def _outside(start: int, end: int, taken) -> list[tuple[int, int]]:
+    """The stretches of ``MIN_RUN`` characters or more of a span outside the spans ``taken``."""
+    found = []
+    for a, b in [*sorted(x for x in taken if x[0] < end and start < x[1]), (end, end)]:
+        if a - start >= MIN_RUN:
+            found.append((start, a))
+        start = max(start, b)
+    return found
+
+
+def _stretches(run: str, encoding) -> list[tuple[int, int]]:
+    """Stretches whose windows of ``MIN_RUN`` characters have few characters per token."""
+    tokens = encoding.encode_ordinary(run.lower() if run.isalpha() else run)
+    sizes = [len(encoding.decode_single_token_bytes(t)) for t in tokens]
+    ends = list(accumulate(sizes))
+    found, last = [], 0
+    for first in range(len(sizes)):
+        start = ends[first] - sizes[first]
+        while last < len(sizes) and ends[last] - start < MIN_RUN:
+            last += 1
+        if last == len(sizes):
+            break
+        if ends[last] - start < MAX_WINDOW_CHARS_PER_TOKEN * (last + 1 - first):
+            if found and first <= found[-1][1]:
+                found[-1][1] = last
+            else:
+                found.append([first, last])
+    spans = []
+    for first, last in found:
+        # Words at the edges are not part of the key.
+        while sizes[first] > 3 and ends[last] - ends[first] >= MIN_RUN:
+            first += 1
+        while sizes[last] > 3 and ends[last - 1] - ends[first] + sizes[first] >= MIN_RUN:
+            last -= 1
+        spans.append((ends[first] - sizes[first], ends[last]))
+    return spans
+
+
+def _random_inside(run: str, encoding, most: float) -> list[tuple[int, int]]:
+    """The random spans of a run: the whole, or parts between joints, or stretches of the others."""
+    if KNOWN.fullmatch(run):
+        return []
+    if _is_random(run, encoding, most):
+        return [(0, len(run))]
+    known = [m.span() for m in INNER.finditer(run)]
+    found = []
+    for start, end in _outside(0, len(run), known):
+        parts = [(start + m.start(), start + m.end()) for m in PART.finditer(run[start:end])]
+        parts = [x for x in parts if not KNOWN.fullmatch(run[slice(*x)])]
+        own = [x for x in parts if _is_random(run[slice(*x)], encoding, most)]
+        for a, b in _outside(start, end, own):
+            # Names are made of words, so that only what stands between joints is looked at.
+            inner = PART.finditer(run[a:b]) if LETTERS.fullmatch(run[a:b].strip("/_=-")) else [None]
+            for m in inner:
+                at, to = (a + m.start(), a + m.end()) if m else (a, b)
+                own += [(at + x, at + y) for x, y in _stretches(run[at:to], encoding)]
+        found += own
+    return sorted(found)
+
+
 def random_spans(text: str, encoding, base, most: float) -> list[tuple[int, int, int]]:
-    """Runs outside the base spans with at most ``most`` characters per token."""
+    """Spans outside the base spans, of runs of key characters, with few characters per token."""
+    taken = [(s, e) for s, _, e in base]
     found = []
     for m in RUN.finditer(text):
-        start, end = m.span()
-        if KNOWN.fullmatch(m.group()) or any(s < end and start < e for s, _, e in base):
-            continue
-        if _is_random(m.group(), encoding, most):
-            found.append((start, 3, end))
+        for start, end in _outside(*m.span(), taken):
+            inside = _random_inside(text[start:end], encoding, most)
+            found += [(start + a, 3, start + b) for a, b in inside]
     return found
 
 

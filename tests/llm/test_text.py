@@ -80,6 +80,22 @@ def test_letter_only_keys_are_found_and_names_are_not():
     assert random_of("md5-Zk3vQ9xT2mLp8RwY5bNc7HdJ4sGf6KqWx1Ve0Tu9") != []
 
 
+def test_keys_inside_longer_runs_are_found():
+    path = "//example/documentation/production/services/internal/"
+    rng = random.Random(7)
+    base62 = ["".join(rng.choices(string.ascii_letters + string.digits, k=20)) for _ in range(100)]
+    for before, after in ((path, "/index"), ("config_value=", ""), ("exampledocumentation", "")):
+        found = [random_of(f"see {before}{k}{after} there") for k in base62]
+        assert sum(any(k[2:-2] in f for f in own) for k, own in zip(base62, found)) >= 97
+    letters = random_keys(100, 24)
+    assert sum(any(k[2:-2] in f for f in random_of(path + k)) for k in letters) >= 97
+    key, digest = base62[0], hashlib.md5(b"x").hexdigest()
+    assert random_of(f"AKIA{'A1' * 8}/{key}") == ["/" + key]
+    assert random_of(f"{digest}-{key}") == ["-" + key]
+    plain = [path + "index", "documentation/production/2024-01-02-2024-03-04/internal"]
+    assert [p for p in plain if random_of(p)] == []
+
+
 def test_forward_sums_all_segmentations():
     vocabulary = Vocabulary(vocabulary_path("byte_bpe_multi_50k.tiktoken"))
     rng = np.random.default_rng(2)
