@@ -11,6 +11,7 @@ from spanloom.llm.mixing import mix_sources
 from spanloom.llm.packing import pack_documents
 from spanloom.llm.quality import quality_rules
 from spanloom.llm.secrets import scan_secrets
+from spanloom.llm.sharding import shard_documents
 from spanloom.llm.sql import SQL, URL_RULES
 from spanloom.llm.substring_dedup import remove_repeats
 from spanloom.llm.suffix_dedup import remove_byte_repeats
@@ -40,5 +41,6 @@ QUERIES = {
     "op7_language_id": _of(identify_languages),
     "op8_best_fit_packing": _of(pack_documents),
     "op9_quality_rules": _of(quality_rules),
+    "op13_sharding": _of(shard_documents),
     "op10_url_filters": _of(lambda pages: filter_urls(pages, RULES), "pages"),
 }

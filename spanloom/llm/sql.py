@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from spanloom.llm.mixing import HASH_DIGITS
+from spanloom.llm.sharding import LAW, MIX_FACTORS, MIX_SHIFTS, SEED, SHARDS, round_keys
 
 # Host, path and verdict of the URL rules.
 URL_RULES = (
@@ -155,6 +156,90 @@ FROM sets s LEFT JOIN reached r ON s.doc_id = r.x
 GROUP BY s.doc_id, s.shingles
 """
 
+
+
+def _crc_step(value: int) -> int:
+    """A CRC-32 register after one more zero byte."""
+    for _ in range(8):
+        value = (value >> 1) ^ (0xEDB88320 if value & 1 else 0)
+    return value
+
+
+def _linear(value: str, images: list[int]) -> str:
+    """The linear map of 32 bits that sends bit ``k`` to ``images[k]``."""
+    found = "CAST(0 AS UBIGINT)"
+    for k, image in enumerate(images):
+        found = f"xor({found}, (({value} >> {k}) & 1) * {image})"
+    return found
+
+
+def _crc(source: str, levels: int) -> str:
+    """``(i, crc)`` of the rows ``(i, text)`` of ``source`` with texts below ``2 ** levels`` bytes.
+
+    A register is linear in the bytes: a byte ``d`` places before the end adds its own register after
+    ``d`` zero bytes. Bytes are added up in pairs, pairs of pairs and so on from the end, where the
+    farther half passes as many zero bytes as the nearer one has.
+    """
+    images = [_crc_step(1 << k) for k in range(32)]
+    rows = f"""
+      SELECT i, n - k AS d, {_linear("CAST('0x' || o AS UBIGINT)", images)} AS v
+      FROM (SELECT i, len(octets) AS n, unnest(octets) AS o, generate_subscripts(octets, 1) AS k
+        FROM (SELECT i, regexp_extract_all(hex(encode(text)), '..') AS octets FROM {source}))
+      UNION ALL
+      SELECT i, octet_length(encode(text)) AS d, CAST(4294967295 AS UBIGINT) AS v FROM {source}"""
+    for _ in range(levels):
+        rows = f"""SELECT i, d // 2 AS d, bit_xor(CASE WHEN d % 2 = 0 THEN v ELSE {_linear("v", images)} END) AS v
+      FROM ({rows}) GROUP BY i, d // 2"""
+        doubled = []
+        for image in images:
+            bits = [images[k] for k in range(32) if image >> k & 1]
+            value = 0
+            for bit in bits:
+                value ^= bit
+            doubled.append(value)
+        images = doubled
+    return f"SELECT i, CAST(xor(v, 4294967295) AS BIGINT) AS crc FROM ({rows})"
+
+
+def _mixed(half: str, key: int) -> str:
+    """The 32-bit mix of ``half`` and a key, as nested lists of one value so that each is named once."""
+    value = f"[CAST(({half} + {key}) % 4294967296 AS UBIGINT)]"
+    for shift, factor in zip(MIX_SHIFTS, (*MIX_FACTORS, None)):
+        value = f"[xor(v, v >> {shift}) FOR v IN {value}]"
+        if factor is not None:
+            value = f"[(v * {factor}) % 4294967296 FOR v IN {value}]"
+    return f"{value}[1]"
+
+
+def _network(source: str) -> str:
+    """One pass of the Feistel network over the columns ``n, bits, p`` of ``source``."""
+    rows = f"""SELECT * EXCLUDE (p), p >> bits AS l, p & ((CAST(1 AS UBIGINT) << bits) - 1) AS r
+      FROM ({source})"""
+    for key in round_keys(SEED):
+        mixed = f"{_mixed('r', key)} & ((CAST(1 AS UBIGINT) << bits) - 1)"
+        rows = f"SELECT * EXCLUDE (l, r), r AS l, xor(l, {mixed}) AS r FROM ({rows})"
+    return f"SELECT i, n, bits, (l << bits) | r AS p FROM ({rows})"
+
+
+SHARDING = f"""
+WITH RECURSIVE numbered AS (
+  SELECT doc_id, CAST(octet_length(encode(coalesce(text, ''))) + 8 AS BIGINT) AS size, coalesce(text, '') AS text,
+    CAST(row_number() OVER (ORDER BY doc_id NULLS FIRST, text) - 1 AS UBIGINT) AS i,
+    CAST(count(*) OVER () AS UBIGINT) AS n
+  FROM documents),
+started AS (
+  SELECT i, n, CAST(greatest(1, ceil(floor(log2(greatest(n - 1, 1)) + 1) / 2)) AS UBIGINT) AS bits, i AS p FROM numbered),
+walked AS (
+  {_network("SELECT * FROM started")}
+  UNION ALL
+  {_network("SELECT * FROM walked WHERE p >= n")}),
+checked AS ({_crc("numbered", 24)})
+SELECT doc_id, size, crc AS text_crc32, '{LAW}' AS law, CAST(p % {SHARDS} AS INTEGER) AS shard,
+  CAST(p // {SHARDS} AS BIGINT) AS slot, CAST(NULL AS INTEGER) AS grown_shard
+FROM numbered JOIN walked USING (i) JOIN checked USING (i)
+WHERE p < walked.n
+"""
+
 SQL = {
     "op1_substring_dedup": SUBSTRING_DEDUP,
     "op2_exact_dedup": EXACT_DEDUP,
@@ -162,4 +247,5 @@ SQL = {
     "op5_source_mixing": SOURCE_MIXING,
     "op6_suffix_array_dedup": BYTE_DEDUP,
     "op10_url_filters": URL_FILTERS,
+    "op13_sharding": SHARDING,
 }
