@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+from spanloom.llm.centroids import cluster_vectors
 from spanloom.llm.exact_dedup import exact_dedup
 from spanloom.llm.jaccard_join import jaccard_components
 from spanloom.llm.language import identify_languages
@@ -41,6 +42,7 @@ QUERIES = {
     "op7_language_id": _of(identify_languages),
     "op8_best_fit_packing": _of(pack_documents),
     "op9_quality_rules": _of(quality_rules),
-    "op13_sharding": _of(shard_documents),
     "op10_url_filters": _of(lambda pages: filter_urls(pages, RULES), "pages"),
+    "op11_centroid_clustering": _of(cluster_vectors, "embeddings"),
+    "op13_sharding": _of(shard_documents),
 }

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from spanloom.llm.centroids import CLUSTERS, DIMS, ROUNDS, SCALE
+from spanloom.llm.centroids import SEED as CENTROID_SEED
 from spanloom.llm.mixing import HASH_DIGITS
 from spanloom.llm.sharding import LAW, MIX_FACTORS, MIX_SHIFTS, SEED, SHARDS, round_keys
 
@@ -240,6 +242,46 @@ FROM numbered JOIN walked USING (i) JOIN checked USING (i)
 WHERE p < walked.n
 """
 
+
+def _lloyd_rounds() -> str:
+    """The assignment and centroids of every round, as common table expressions."""
+    steps = ""
+    for r in range(ROUNDS + 1):
+        steps += f"""
+a{r} AS (
+  SELECT vec_id, arg_min(cluster, [distance, cluster]) AS cluster, min(distance) AS distance
+  FROM (SELECT e.vec_id, c.cluster, CAST(sum((e.x - c.x) * (e.x - c.x)) AS BIGINT) AS distance
+    FROM parts e JOIN c{r} c USING (dim) GROUP BY e.vec_id, c.cluster)
+  GROUP BY vec_id),"""
+        if r < ROUNDS:
+            steps += f"""
+c{r + 1} AS (
+  SELECT c.cluster, c.dim, coalesce(m.x, c.x) AS x
+  FROM c{r} c LEFT JOIN (
+    SELECT cluster, dim, CAST((s - (s % n + n) % n) // n AS BIGINT) AS x
+    FROM (SELECT a.cluster, e.dim, sum(e.x) AS s, count(*) AS n FROM parts e JOIN a{r} a USING (vec_id) GROUP BY a.cluster, e.dim)) m
+  USING (cluster, dim)),"""
+    return steps
+
+
+CENTROIDS = f"""
+WITH kept AS (
+  SELECT vec_id, embedding FROM embeddings
+  WHERE len(embedding) = {DIMS} AND len(list_filter(embedding, lambda x: x IS NOT NULL AND isfinite(x))) = {DIMS}),
+parts AS (
+  SELECT vec_id, generate_subscripts(embedding, 1) AS dim,
+    CAST(floor({SCALE} * CAST(unnest(embedding) AS DOUBLE)) AS BIGINT) AS x
+  FROM kept),
+seeds AS (
+  SELECT vec_id, CAST(row_number() OVER (ORDER BY sha256('{CENTROID_SEED}:' || vec_id)) - 1 AS INTEGER) AS cluster FROM kept),
+c0 AS (SELECT s.cluster, p.dim, p.x FROM parts p JOIN seeds s USING (vec_id) WHERE s.cluster < {CLUSTERS}),{_lloyd_rounds()}
+digests AS (
+  SELECT cluster, sha256(string_agg(CAST(x AS VARCHAR), ',' ORDER BY dim)) AS centroid_sha256 FROM c{ROUNDS} GROUP BY cluster)
+SELECT vec_id, cluster, distance, CAST(sum(distance) OVER (PARTITION BY cluster) AS BIGINT) AS cluster_inertia,
+  CAST(sum(distance) OVER () AS BIGINT) AS inertia, centroid_sha256
+FROM a{ROUNDS} JOIN digests USING (cluster)
+"""
+
 SQL = {
     "op1_substring_dedup": SUBSTRING_DEDUP,
     "op2_exact_dedup": EXACT_DEDUP,
@@ -247,5 +289,6 @@ SQL = {
     "op5_source_mixing": SOURCE_MIXING,
     "op6_suffix_array_dedup": BYTE_DEDUP,
     "op10_url_filters": URL_FILTERS,
+    "op11_centroid_clustering": CENTROIDS,
     "op13_sharding": SHARDING,
 }
