@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from spanloom.llm.centroids import cluster_vectors
+from spanloom.llm.conversations import damaged_repairs
 from spanloom.llm.exact_dedup import exact_dedup
 from spanloom.llm.jaccard_join import jaccard_components
 from spanloom.llm.language import identify_languages
@@ -44,5 +45,6 @@ QUERIES = {
     "op9_quality_rules": _of(quality_rules),
     "op10_url_filters": _of(lambda pages: filter_urls(pages, RULES), "pages"),
     "op11_centroid_clustering": _of(cluster_vectors, "embeddings"),
+    "op12_conversation_repair": _of(damaged_repairs, "conversations"),
     "op13_sharding": _of(shard_documents),
 }

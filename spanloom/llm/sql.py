@@ -282,6 +282,88 @@ SELECT vec_id, cluster, distance, CAST(sum(distance) OVER (PARTITION BY cluster)
 FROM a{ROUNDS} JOIN digests USING (cluster)
 """
 
+
+def _ext(value: str, cost: str, letters: str) -> str:
+    """``value``, eight digits of cost and an audit, after edits; null stays null."""
+    total = f"CAST(CAST(left({value}, 8) AS INTEGER) + {cost} AS VARCHAR)"
+    return f"lpad({total}, 8, '0') || substr({value}, 9) || '{letters}'"
+
+
+# Least values of the four states once rows may be inserted: nothing yet, after s, after u, after a.
+_INSERTED = f"""
+  v0 AS c0, v1 AS c1,
+  least(v2, {_ext("v0", "3", "I")}, {_ext("v1", "3", "I")}, {_ext("v3", "3", "I")}) AS c2,
+  least(v3, {_ext("v2", "3", "I")}, {_ext("v0", "6", "II")}, {_ext("v1", "6", "II")}) AS c3"""
+
+
+def _read(state: int, initial: str, before: tuple[int, ...], written: bool) -> str:
+    """The least value of a state after one more row."""
+    ways = [_ext(f"c{state}", "4", "D")]
+    for b in before:
+        ways.append(f"CASE WHEN may AND c = '{initial}' THEN {_ext(f'c{b}', 'late', 'K')} END")
+        if written:
+            ways.append(f"CASE WHEN may THEN {_ext(f'c{b}', '3 + late', 'R')} END")
+    return f"least({', '.join(ways)}, NULL) AS v{state}"
+
+
+CONVERSATIONS = f"""
+WITH RECURSIVE keyed AS MATERIALIZED (
+  SELECT row_number() OVER () AS i, conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS body,
+    coalesce(CAST(conv_id AS VARCHAR), ' ') || ':' || coalesce(CAST(turn AS VARCHAR), ' ') AS text
+  FROM conversations),
+acted AS MATERIALIZED (
+  SELECT conv_id, turn, crc % 20 AS act, CASE WHEN crc % 20 = 4 THEN 'user' ELSE role END AS role,
+    CASE crc % 20 WHEN 1 THEN '' WHEN 2 THEN regexp_replace(body, '[.!?]', '', 'g') ELSE body END AS text
+  FROM keyed JOIN ({_crc("keyed", 6)}) crcs USING (i)),
+numbered AS MATERIALIZED (
+  SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text) AS i, left(role, 1) AS c
+  FROM (SELECT * FROM acted WHERE act <> 0 UNION ALL SELECT * FROM acted WHERE act = 3)),
+faulty AS MATERIALIZED (
+  SELECT *, CASE WHEN NOT regexp_matches(text, '[^\\x20\\x09-\\x0D]') THEN 'blank' WHEN row_number() OVER (PARTITION BY conv_id, role, text ORDER BY i) > 1 THEN 'duplicate'
+      WHEN NOT regexp_matches(text, '[.!?][\\x20\\x09-\\x0D]*\\z') THEN 'truncated' ELSE 'none' END AS fault,
+    c || lead(c) OVER (PARTITION BY conv_id ORDER BY i) AS pair
+  FROM numbered),
+symbols AS MATERIALIZED (
+  SELECT conv_id, i, c, fault NOT IN ('blank', 'duplicate') AS may, CASE WHEN fault = 'truncated' THEN 3 ELSE 0 END AS late
+  FROM faulty),
+walked(conv_id, i, v0, v1, v2, v3) AS (
+  SELECT DISTINCT conv_id, CAST(0 AS BIGINT), '00000000', CAST(NULL AS VARCHAR), CAST(NULL AS VARCHAR), CAST(NULL AS VARCHAR)
+  FROM keyed
+  UNION ALL
+  SELECT conv_id, i + 1, {_read(0, "-", (), False)}, {_read(1, "s", (0,), False)}, {_read(2, "u", (0, 1, 3), True)},
+    {_read(3, "a", (2,), True)}
+  FROM (SELECT conv_id, i, {_INSERTED} FROM walked) w
+  JOIN (SELECT conv_id, i - 1 AS i, c, may, late FROM symbols) s USING (conv_id, i)),
+counted AS (
+  SELECT conv_id, count(*) AS n, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps,
+    count(*) FILTER (fault = 'blank') AS blank, count(*) FILTER (fault = 'duplicate') AS duplicate,
+    count(*) FILTER (fault = 'truncated') AS truncated,
+    count(*) FILTER (pair IS NOT NULL AND pair NOT IN ('su', 'ua', 'au')) AS illegal
+  FROM faulty GROUP BY conv_id),
+solved AS MATERIALIZED (
+  SELECT conv_id, CAST(left(best, 8) AS BIGINT) AS cost, substr(best, 9) AS audit
+  FROM (SELECT w.conv_id, least(c0, c3) AS best
+    FROM (SELECT conv_id, i, {_INSERTED} FROM walked) w LEFT JOIN counted USING (conv_id)
+    WHERE w.i = coalesce(n, 0))),
+letters AS (
+  SELECT conv_id, j, letter, count(*) FILTER (letter <> 'I') OVER upto AS i, count(*) FILTER (letter <> 'D') OVER upto AS place
+  FROM (SELECT conv_id, j, substr(audit, CAST(j AS BIGINT), 1) AS letter FROM (SELECT conv_id, audit, unnest(range(1, length(audit) + 1)) AS j FROM solved))
+  WINDOW upto AS (PARTITION BY conv_id ORDER BY j ROWS UNBOUNDED PRECEDING)),
+edited AS (
+  SELECT l.conv_id, j, letter, place, role, text,
+    coalesce(max(CASE WHEN place = 1 AND letter = 'K' AND c = 's' THEN 1 END) OVER (PARTITION BY l.conv_id), 0) AS system
+  FROM letters l LEFT JOIN faulty f ON f.conv_id = l.conv_id AND f.i = l.i AND letter <> 'I'
+  WHERE letter <> 'D'),
+repaired AS (
+  SELECT conv_id, string_agg(
+    CASE WHEN letter = 'K' THEN role WHEN (place - system) % 2 = 1 THEN 'user' ELSE 'assistant' END || ':' || coalesce(text, ''),
+    chr(10) ORDER BY j) AS whole
+  FROM edited GROUP BY conv_id)
+SELECT s.conv_id, CAST(coalesce(gaps, 0) AS BIGINT) AS gaps, coalesce(blank, 0) AS blank, coalesce(duplicate, 0) AS duplicate,
+  coalesce(truncated, 0) AS truncated, coalesce(illegal, 0) AS illegal, cost, audit, sha256(coalesce(whole, '')) AS repaired_sha256
+FROM solved s LEFT JOIN counted USING (conv_id) LEFT JOIN repaired USING (conv_id)
+"""
+
 SQL = {
     "op1_substring_dedup": SUBSTRING_DEDUP,
     "op2_exact_dedup": EXACT_DEDUP,
@@ -290,5 +372,6 @@ SQL = {
     "op6_suffix_array_dedup": BYTE_DEDUP,
     "op10_url_filters": URL_FILTERS,
     "op11_centroid_clustering": CENTROIDS,
+    "op12_conversation_repair": CONVERSATIONS,
     "op13_sharding": SHARDING,
 }
