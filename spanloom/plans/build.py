@@ -42,22 +42,16 @@ def _spans_of_trees(trees: DataFrame, config: SpanConfig) -> DataFrame:
     )
     per_query = [*EXECUTION_COLUMNS, "query_name"]
     query_item = F.struct(
-        F.lit(False).alias("visible"),
-        F.lit(0).alias("lead"),
-        F.lit(0).alias("position"),
-        query_node().alias("node"),
+        query_node().alias("node"), F.lit(None).cast("array<string>").alias("plan_tables")
     )
+    shown = plantree.visible_nodes(F.col("walk"), F.col("names"))
     listed = with_query_name(walked, F.col("tables")).select(
-        *per_query,
-        F.concat(plantree.visible_nodes(F.col("walk")), F.array(query_item)).alias("items"),
-        plantree.fitting_names(F.col("names")).alias("fitting"),
+        *per_query, F.concat(shown, F.array(query_item)).alias("items")
     )
-    rows = listed.select(
-        *per_query, "fitting", F.posexplode_outer("items").alias("order", "item")
-    ).select(
+    rows = listed.select(*per_query, F.posexplode_outer("items").alias("order", "item")).select(
         *per_query,
         "item.node",
-        plantree.plan_tables(F.col("fitting"), F.col("item.lead"), F.col("item.position")),
+        "item.plan_tables",
         (F.col("order") + 1).cast("bigint").alias("emit_order"),
     )
     return project_spans(rows, config)

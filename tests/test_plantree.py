@@ -1,6 +1,7 @@
 """Both routes through a tree against a plain recursion."""
 
 import random
+import time
 from collections import Counter
 
 import pytest
@@ -9,6 +10,7 @@ from pyspark.sql import functions as F
 
 from spanloom import SpanConfig, nest_plans, query_tables, subtree_tables, walk_plans
 from spanloom.operators import largetrees, plantree
+from spanloom.schemas import SPAN_NODE
 from tests.data import executions, plan_nodes
 
 SPLIT = SpanConfig(max_tree_nodes=50)
@@ -166,3 +168,35 @@ def test_unbounded_plans_stay_flat(spark, nodes):
         {q: n for q, n in counts.items() if n > SPLIT.max_tree_nodes}
     )
     assert nest_plans(executions(spark, {}), nodes).rest is None
+
+
+def chain(spark, size):
+    """A tree of one path, with node ids in no order and as many tables as a span may not list."""
+    i = F.col("id").cast("int")
+    node_id = ((i + 1) * 7919 % 1_000_003).cast("int")
+    return spark.range(size).select(
+        F.lit(1).cast("long").alias("query_id"),
+        node_id.alias("node_id"),
+        F.when(i > 0, i * 7919 % 1_000_003).cast("int").alias("parent_node_id"),
+        F.when(i > 0, F.when(i % 3 == 0, "L").otherwise("R")).alias("side"),
+        *(F.lit(None).cast(f.dataType).alias(f.name) for f in SPAN_NODE.fields
+          if f.name not in {"node_id", "parent_node_id", "side", "instrumented", "table_name"}),
+        (i % 1000 < 999).alias("instrumented"),
+        F.concat(F.lit("t"), i % 50).alias("table_name"),
+    )
+
+
+def test_a_row_takes_time_in_proportion_to_its_nodes(spark):
+    config = SpanConfig(max_tree_nodes=20_000)
+    took = {}
+    for size in (4_000, 16_000):
+        walked = walk_plans(chain(spark, size).repartition(1).cache(), config)
+        for _ in range(3):
+            start = time.perf_counter()
+            rows = walked.select("node.node_id", "plan_tables", "emit_order").collect()
+            took[size] = min(took.get(size, 1e9), time.perf_counter() - start)
+        # All below the first hidden node are hidden, so those above it are the last in post-order.
+        assert sorted(r.emit_order for r in rows) == list(range(1, 1000))
+        names = [f"t{i % 50}" for i in range(size - 1, -1, -1)]
+        assert {tuple(r.plan_tables) for r in rows} == {tuple(names[:12])}
+    assert took[16_000] < 8 * took[4_000]
