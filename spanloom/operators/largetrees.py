@@ -5,20 +5,23 @@ Nodes point to their parent and the pointers are doubled, so a tree of depth ``d
 query that holds a third of all nodes is spread over all tasks, and no ancestor pairs are listed.
 
 After round ``k`` a node has combined what lies on its path to the ancestor 2^k levels up, and has
-received what its descendants less than 2^k levels down have sent.
+received what its descendants less than 2^k levels down have sent. A node is settled once its pointer
+is past the root. Settled nodes stay where they are, in a table bucketed by node; a round reads them
+there and shuffles only the nodes whose pointers still move.
 """
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 from typing import NamedTuple
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from spanloom.config import SpanConfig
 from spanloom.operators.joins import checked_join
-from spanloom.operators.lineage import cut_lineage
+from spanloom.operators.lineage import cut_lineage, shared_folder
 
 NODE_KEY = ["query_id", "node_id"]
 
@@ -27,12 +30,17 @@ NODE_KEY = ["query_id", "node_id"]
 HOT_POINTERS = 10_000
 HOT_SHARE = 1e-4
 
+# Positions of a query that are numbered together.
+RANGE_POSITIONS = 4096
+
 
 class Placed(NamedTuple):
-    """Reachable nodes with their places, and per round ``k`` the ancestors 2^k levels up."""
+    """Reachable nodes with their places, per round ``k`` the ancestors 2^k levels up, and how many
+    pointers moved in every round of the climb to the root."""
 
     nodes: DataFrame
     jumps: list[DataFrame]
+    moved: list[int]
 
 
 def oversized(plan_nodes: DataFrame, config: SpanConfig) -> DataFrame | None:
@@ -80,96 +88,153 @@ def split(
     return nodes_of(plan_nodes, ids, config, others=True), large
 
 
+class _State:
+    """What is known of every node, in a table bucketed by node to which rounds only append.
+
+    A round's nodes are kept apart by whether they are settled, so that a join by node finds either
+    kind in place: neither is shuffled or written again.
+    """
+
+    def __init__(self, spark: SparkSession):
+        self.spark = spark
+        self.name = f"spanloom_state_{uuid.uuid4().hex}"
+        self.path = f"{shared_folder(spark)}/{self.name}"
+        # As many as a shuffle has partitions, so that the other side of a join is dealt to them.
+        self.buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
+
+    def add(self, nodes: DataFrame, number: int) -> None:
+        placed = nodes.withColumns({"round": F.lit(number), "settled": F.col("up").isNull()})
+        writer = placed.repartition(self.buckets, *NODE_KEY).write.format("parquet")
+        writer = writer.partitionBy("round", "settled").bucketBy(self.buckets, *NODE_KEY)
+        writer.option("path", self.path).mode("append").saveAsTable(self.name)
+
+    def settled(self) -> DataFrame:
+        return self.spark.table(self.name).filter("settled").drop("round", "settled")
+
+    def moving(self, number: int) -> DataFrame:
+        rows = self.spark.table(self.name).filter((F.col("round") == number) & ~F.col("settled"))
+        return rows.drop("round", "settled")
+
+    def written(self, number: int) -> DataFrame:
+        """:meth:`moving` by its files, for what outlives the table's name."""
+        rows = self.spark.read.schema(self.spark.table(self.name).schema).parquet(self.path)
+        return rows.filter((F.col("round") == number) & ~F.col("settled"))
+
+    def forget(self) -> None:
+        """Drop the table's name; its files stay for what reads them."""
+        self.spark.sql(f"DROP TABLE IF EXISTS {self.name}")
+
+
 def _climb(
     nodes: DataFrame,
     carried: dict[str, Callable[[Column, Column], Column]],
     summed: list[str],
     jumps: list[DataFrame] | None = None,
+    moved: list[int] | None = None,
 ) -> DataFrame:
     """Run all rounds over ``nodes`` (``query_id``, ``node_id``, ``up``, values).
 
     ``carried`` columns are combined along the path to the root as ``f(above, own)``, ``summed``
     columns are added up over the subtree. ``dead`` is set where no root is reached. The pointers of
-    every round are put into ``jumps``.
+    every round are put into ``jumps`` and their number into ``moved``.
+
+    A round shuffles the moving nodes twice, by the node they point to and back by their own key, and
+    the sums they send once, combined before. What is sent to settled nodes is added up at the end.
     """
-    others = [c for c in nodes.columns if c not in {"up", "dead", *carried}]
     nodes = cut_lineage(nodes)
+    known = ["up", "dead", *carried]
     # A tree of n nodes settles within log2(n) + 1 rounds; what moves after that runs in a circle.
     total = nodes.count()
     hot_pointers = max(HOT_POINTERS, int(total * HOT_SHARE))
-    for _ in range(total.bit_length() + 1):
-        pending = nodes.filter(F.col("up").isNotNull())
-        if pending.isEmpty():
-            break
+    state = _State(nodes.sparkSession)
+    state.add(nodes.select(*NODE_KEY, *known, *summed), 0)
+    late: list[DataFrame] = []
+    number, limit = 0, total.bit_length() + 1
+    while number < limit and (count := (pending := state.moving(number)).count()):
+        if moved is not None:
+            moved.append(count)
         if jumps is not None:
-            jumps.append(pending.select(*NODE_KEY, "up"))
-        above = nodes.select(
-            F.col("query_id").alias("_query_id"),
-            F.col("node_id").alias("_node_id"),
-            F.struct("up", "dead", *carried).alias("above"),
+            jumps.append(state.written(number).select(*NODE_KEY, "up"))
+        sent = cut_lineage(
+            pending.groupBy("query_id", F.col("up").alias("node_id")).agg(
+                F.count(F.lit(1)).alias("_pointers"), *(F.sum(c).alias(f"_{c}") for c in summed)
+            )
         )
-        after = _look_up(nodes, pending, above, hot_pointers if total > hot_pointers else None)
-        settled, known = F.col("up").isNull(), F.col("above").isNotNull()
+        hot = sent.filter(F.col("_pointers") > hot_pointers).select(*NODE_KEY)
+        received = sent.drop("_pointers")
+        if summed:
+            keys = pending.select(*NODE_KEY)
+            late.append(received.join(keys, NODE_KEY, "left_anti"))  # runs once, at the end
+            pending = pending.join(received, NODE_KEY, "left").select(
+                *NODE_KEY,
+                *known,
+                *((F.col(c) + F.coalesce(f"_{c}", F.lit(0))).alias(c) for c in summed),
+            )
+        sources = [state.settled(), state.moving(number)]
+        after = _look_up(pending, sources, known, hot if total > hot_pointers else None)
+        above = F.col("above")
+        found = above.isNotNull()
         after = after.select(
-            *others,
-            F.col("above.up").alias("up"),
-            F.when(settled, F.col("dead"))
-            .when(known, F.col("dead") | F.col("above.dead"))
-            .otherwise(True)
-            .alias("dead"),
+            *NODE_KEY,
+            above["up"].alias("up"),
+            F.when(found, F.col("dead") | above["dead"]).otherwise(True).alias("dead"),
             *(
-                F.when(known, f(F.col("above")[c], F.col(c))).otherwise(F.col(c)).alias(c)
+                F.when(found, f(above[c], F.col(c))).otherwise(F.col(c)).alias(c)
                 for c, f in carried.items()
             ),
+            *summed,
         )
-        if summed:
-            received = pending.groupBy("query_id", F.col("up").alias("node_id")).agg(
-                *(F.sum(c).alias(f"_{c}") for c in summed)
-            )
-            after = after.join(received, NODE_KEY, "left")
-            for c in summed:
-                after = after.withColumn(c, F.col(c) + F.coalesce(F.col(f"_{c}"), F.lit(0)))
-            after = after.drop(*(f"_{c}" for c in summed))
-        nodes = cut_lineage(after)
-    return nodes.withColumn("dead", F.col("dead") | F.col("up").isNotNull())
+        number += 1
+        state.add(after, number)
+    circles = state.moving(number).withColumn("dead", F.lit(True))
+    done = state.settled().unionByName(circles)
+    if late:
+        sums = late[0]
+        for rows in late[1:]:
+            sums = sums.unionByName(rows)
+        sums = sums.groupBy(*NODE_KEY).agg(*(F.sum(f"_{c}").alias(f"_{c}") for c in summed))
+        done = done.join(sums, NODE_KEY, "left").select(
+            *NODE_KEY,
+            *known,
+            *((F.col(c) + F.coalesce(f"_{c}", F.lit(0))).alias(c) for c in summed),
+        )
+    others = [c for c in nodes.columns if c not in {*known, *summed}]
+    climbed = cut_lineage(nodes.select(*others).join(done, NODE_KEY))
+    state.forget()
+    return climbed
 
 
 def _look_up(
-    nodes: DataFrame, pending: DataFrame, above: DataFrame, hot_pointers: int | None
+    pending: DataFrame, sources: list[DataFrame], known: list[str], hot: DataFrame | None
 ) -> DataFrame:
-    """``nodes`` with ``above``, what is known of the node they point to.
+    """``pending`` with ``above``, what is known of the node they point to.
 
-    Towards the end of a deep tree most nodes point to a few ancestors near the root. Those few are
-    broadcast; the other pointers are joined, where nodes without one go by their own key.
+    A node is in one of the ``sources``, which are joined where they lie. Towards the end of a deep
+    tree most nodes point to a few ancestors near the root; those in ``hot`` are broadcast instead.
     """
     pointer = F.col("up")
-    if hot_pointers is not None:
-        hot = (
-            pending.groupBy(
-                F.col("query_id").alias("_query_id"), F.col("up").alias("_node_id")
-            )
-            .agg(F.count(F.lit(1)).alias("_pointers"))
-            .filter(F.col("_pointers") > hot_pointers)
-        )
-        known = above.join(hot, ["_query_id", "_node_id"], "left_semi").select(
-            F.col("_query_id").alias("_hot_query_id"),
-            F.col("_node_id").alias("_hot_node_id"),
-            F.col("above").alias("_hot_above"),
-        )
-        is_hot = (F.col("query_id") == F.col("_hot_query_id")) & (
-            F.col("up") == F.col("_hot_node_id")
+
+    def facts(source: DataFrame, name: str) -> DataFrame:
+        return source.select(
+            F.col("query_id").alias(f"{name}_query"),
+            F.col("node_id").alias(f"{name}_node"),
+            F.struct(*known).alias(name),
         )
-        nodes = nodes.join(F.broadcast(known), is_hot, "left")
-        pointer = F.when(F.col("_hot_above").isNull(), pointer)
-    at_pointer = (
-        (F.col("query_id") == F.col("_query_id"))
-        & (F.coalesce(pointer, F.col("node_id")) == F.col("_node_id"))
-        & pointer.isNotNull()
-    )
-    joined = nodes.join(above, at_pointer, "left")
-    if hot_pointers is not None:
-        joined = joined.withColumn("above", F.coalesce("_hot_above", "above"))
-    return joined
+
+    names = [f"_above{i}" for i in range(len(sources))]
+    if hot is not None:
+        found = [s.join(F.broadcast(hot), NODE_KEY, "left_semi") for s in sources]
+        few = facts(found[0].unionByName(found[1]), "_hot")
+        is_hot = (F.col("query_id") == F.col("_hot_query")) & (F.col("up") == F.col("_hot_node"))
+        pending = pending.join(F.broadcast(few), is_hot, "left")
+        pointer = F.when(F.col("_hot").isNull(), pointer)
+        names.append("_hot")
+    # Nodes that have found a hot ancestor meet nothing; their own key spreads them.
+    pending = pending.withColumn("_at", F.coalesce(pointer, -F.col("node_id") - 1))
+    for name, source in zip(names, sources):
+        at = (F.col("query_id") == F.col(f"{name}_query")) & (F.col("_at") == F.col(f"{name}_node"))
+        pending = pending.join(facts(source, name), at, "left")
+    return pending.withColumn("above", F.coalesce(*names))
 
 
 def _steps_before_end(nodes: DataFrame, size: str) -> DataFrame:
@@ -198,11 +263,11 @@ def _inherit(above: Column, own: Column) -> Column:
 
 
 def place(plan_nodes: DataFrame, with_paths: bool = False) -> Placed:
-    """Reachable nodes with ``visible``, ``position``, ``visible_position`` and, on demand,
+    """Reachable nodes with ``visible``, ``position``, ``lead``, ``visible_position`` and, on demand,
     ``side_path``, which is as long as its node is deep.
 
     Both positions count in post-order from 1; the second one counts visible nodes only and is null
-    for hidden ones.
+    for hidden ones. The subtree of a node has the positions ``lead + 1 .. position``.
     """
     is_root = F.col("parent_node_id").isNull()
     followed = is_root | F.coalesce(F.col("side").isin("L", "R"), F.lit(False))
@@ -219,34 +284,40 @@ def place(plan_nodes: DataFrame, with_paths: bool = False) -> Placed:
         F.lit(1).cast("bigint").alias("size"),
     )
     paths = {"side_path": F.concat, "visible": lambda above, own: above & own}
-    climbed = _climb(start, paths, ["size"])
+    moved: list[int] = []
+    climbed = _climb(start, paths, ["size"], moved=moved)
     placed = climbed.filter(~F.col("dead")).drop("dead", "up")
 
+    # Position in post-order = size of the whole tree - steps up to the root.
+    root_size = F.when(is_root, F.col("size")).alias("tree_size")
+    stepped = _steps_before_end(placed, "size").select(
+        "*", F.col("parent_node_id").alias("up"), F.lit(False).alias("dead"), root_size
+    )
     jumps: list[DataFrame] = []
+    done = _climb(stepped, {"step": _add, "tree_size": _inherit}, [], jumps)
+    position = F.col("tree_size") - F.col("step")
+    ordered = done.withColumns({"position": position, "lead": position - F.col("size")})
+    nodes = with_visible_positions(ordered).drop("up", "dead", "step", "tree_size", "size")
+    return Placed(nodes, jumps, moved)
 
-    def ranked(
-        nodes: DataFrame,
-        size: str,
-        position: str,
-        summed: list[str],
-        jumps: list[DataFrame] | None = None,
-    ) -> DataFrame:
-        """Position in post-order = size of the whole tree - steps up to the root."""
-        root_size = F.when(is_root, F.col(size)).alias("tree_size")
-        stepped = _steps_before_end(nodes, size).select(
-            "*", F.col("parent_node_id").alias("up"), F.lit(False).alias("dead"), root_size
-        )
-        done = _climb(stepped, {"step": _add, "tree_size": _inherit}, summed, jumps)
-        return done.withColumn(position, F.col("tree_size") - F.col("step")).drop(
-            "up", "dead", "step", "tree_size"
-        )
 
-    sized = placed.withColumn("visible_size", F.col("visible").cast("bigint"))
-    placed = ranked(sized, "size", "position", ["visible_size"], jumps)
-    visible = ranked(placed.filter("visible"), "visible_size", "visible_position", [])
-    hidden = placed.filter(~F.col("visible"))
-    nodes = visible.unionByName(hidden, allowMissingColumns=True).drop("size", "visible_size")
-    return Placed(nodes, jumps)
+def with_visible_positions(nodes: DataFrame) -> DataFrame:
+    """Add ``visible_position``, the number of visible nodes up to a visible one, null for others.
+
+    Two levels of counts: within ranges of positions, and of the ranges before.
+    """
+    ranged = nodes.withColumn("_range", F.expr("(position - 1) div %d" % RANGE_POSITIONS))
+    counts = ranged.groupBy("query_id", "_range").agg(F.count_if("visible").alias("_n"))
+    earlier = Window.partitionBy("query_id").orderBy("_range")
+    before = F.sum("_n").over(earlier.rowsBetween(Window.unboundedPreceding, -1))
+    offsets = counts.select("query_id", "_range", F.coalesce(before, F.lit(0)).alias("_before"))
+    within = Window.partitionBy("query_id", "_range", "visible").orderBy("position")
+    number = F.row_number().over(within) + F.col("_before")
+    return (
+        ranged.join(offsets, ["query_id", "_range"])
+        .withColumn("visible_position", F.when(F.col("visible"), number))
+        .drop("_range", "_before")
+    )
 
 
 def tables_by_subtree(placed: Placed, table_name: Column, first: int | None = None) -> DataFrame:
