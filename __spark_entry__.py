@@ -170,6 +170,14 @@ def query_tables(c: Capture) -> DataFrame:
     return sl.query_tables(_named(c)).select("query_id", _joined("tables"))
 
 
+def subtree_table_rows(c: Capture) -> DataFrame:
+    return sl.subtree_table_rows(_named(c), counted=c.plan_nodes)
+
+
+def query_table_rows(c: Capture) -> DataFrame:
+    return sl.query_table_rows(_named(c), counted=c.plan_nodes)
+
+
 def plan_visibility(c: Capture) -> DataFrame:
     return sl.subtree_tables(_named(c)).select("query_id", "node_id", "visible")
 
@@ -367,7 +375,9 @@ _QUERIES: dict[str, Callable[[Capture], DataFrame]] = {
     "nested_plans": nested_plans,
     "subtree_tables": subtree_tables,
     "subtree_tables_joined": lambda c: subtree_tables(c, SPLIT_CONFIG),
+    "subtree_table_rows": subtree_table_rows,
     "query_tables": query_tables,
+    "query_table_rows": query_table_rows,
     "plan_visibility": plan_visibility,
     "bounded_text": bounded_text,
     "query_spans": query_spans,
@@ -394,6 +404,8 @@ _QUERIES: dict[str, Callable[[Capture], DataFrame]] = {
 _DEEP_QUERIES: dict[str, Callable[[Capture], DataFrame]] = {
     "plan_tables_capped_deep": plan_tables_capped,
     "query_tables_deep": query_tables,
+    "query_table_rows_deep": query_table_rows,
+    "subtree_table_rows_deep": subtree_table_rows,
     "nested_plans_deep": nested_plans,
     "spans_from_nested_deep": spans_from_nested,
     "spans_deep": lambda c: _plain(_spans(c)),

@@ -299,6 +299,9 @@ _PLAN_SPAN_COLUMNS = """query_id, node_id, trace_id, span_id, parent_span_id, na
 _NESTED = """SELECT query_id, count(*) AS nodes, CAST(sum(n.total_ns) AS BIGINT) AS node_ns,
   CAST(max(n.node_id) AS INTEGER) AS last_node
 FROM executions JOIN plan_nodes n USING (query_id) GROUP BY query_id"""
+_SUBTREE_ROWS = """SELECT query_id, node_id, CAST(row_number() OVER
+  (PARTITION BY query_id, node_id ORDER BY first_at) AS INTEGER) AS ordinal, table_name FROM firsts"""
+_QUERY_ROWS = "SELECT DISTINCT query_id, table_name FROM walk WHERE table_name IS NOT NULL"
 _NUMBERED = f"""SELECT *, CAST((row_number() OVER (PARTITION BY service_name, bucket
     ORDER BY query_id, emit_order) - 1) // {BATCH_SPANS} AS INTEGER) AS batch
   FROM (SELECT *, CAST((CAST('0x' || substr(md5(CAST(query_id AS VARCHAR)), 1, 8) AS BIGINT)
@@ -337,6 +340,10 @@ def statements() -> dict[str, str]:
         "subtree_tables": _with(
             ["subtrees"], "SELECT query_id, node_id, side_path, tables, visible FROM subtrees"
         ),
+        "subtree_table_rows": _with(["firsts"], _SUBTREE_ROWS),
+        "subtree_table_rows_deep": _with(["firsts"], _SUBTREE_ROWS, deep=True),
+        "query_table_rows": _with(["walk"], _QUERY_ROWS),
+        "query_table_rows_deep": _with(["walk"], _QUERY_ROWS, deep=True),
         "query_tables": _with(["roots"], "SELECT query_id, tables FROM roots"),
         "plan_visibility": _with(["walk"], "SELECT query_id, node_id, visible FROM walk"),
         "bounded_text": f"""SELECT doc_id, {_bounded("t", 512)} AS bounded,

@@ -4,7 +4,13 @@ from spanloom.config import SpanConfig
 from spanloom.operators.catalog import resolve_relations
 from spanloom.operators.context import attach_trace_context
 from spanloom.operators.otlp import otlp_batches, with_attributes, with_resource
-from spanloom.operators.plantree import query_tables, subtree_tables, walk_plans
+from spanloom.operators.plantree import (
+    query_table_rows,
+    query_tables,
+    subtree_table_rows,
+    subtree_tables,
+    walk_plans,
+)
 from spanloom.operators.slow import slow_executions
 from spanloom.operators.spans import plan_spans, query_spans
 from spanloom.plans.build import build_spans, spans_from_nested, spans_from_nodes
@@ -20,6 +26,7 @@ __all__ = [
     "otlp_batches",
     "plan_spans",
     "query_spans",
+    "query_table_rows",
     "query_tables",
     "read_executions",
     "read_plan_nodes",
@@ -28,6 +35,7 @@ __all__ = [
     "spans_from_nested",
     "spans_from_nodes",
     "stream_spans",
+    "subtree_table_rows",
     "subtree_tables",
     "walk_plans",
     "with_attributes",

@@ -320,8 +320,11 @@ def with_visible_positions(nodes: DataFrame) -> DataFrame:
     )
 
 
-def tables_by_subtree(placed: Placed, table_name: Column, first: int | None = None) -> DataFrame:
-    """``tables`` per node: distinct ``table_name`` of its subtree in post-order.
+def table_positions(
+    placed: Placed, table_name: Column, first: int | None = None
+) -> DataFrame:
+    """``(query_id, node_id, table_name, position)``: the distinct ``table_name`` of every subtree and
+    where each occurs there first.
 
     With ``first`` only that many are kept. A table among the first of a subtree is among the first of
     every part of it that holds its first occurrence, so cutting in each round loses nothing.
@@ -345,5 +348,11 @@ def tables_by_subtree(placed: Placed, table_name: Column, first: int | None = No
             "query_id", F.col("up").alias("node_id"), "table_name", "position"
         )
         found = merged(found.unionByName(sent))
+    return found
+
+
+def tables_by_subtree(placed: Placed, table_name: Column, first: int | None = None) -> DataFrame:
+    """:func:`table_positions` as a list ``tables`` per node, which is as long as it has tables."""
     in_order = F.sort_array(F.collect_list(F.struct("position", "table_name")))
+    found = table_positions(placed, table_name, first)
     return found.groupBy(*NODE_KEY).agg(in_order["table_name"].alias("tables"))

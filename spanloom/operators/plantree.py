@@ -16,7 +16,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from spanloom.config import SpanConfig
@@ -369,6 +369,50 @@ def subtree_tables(
     return result.unionByName(rest)
 
 
+def subtree_table_rows(
+    plan_nodes: DataFrame, config: SpanConfig = SpanConfig(), counted: DataFrame | None = None
+) -> DataFrame:
+    """The tables of :func:`subtree_tables` as rows ``(query_id, node_id, ordinal, table_name)``.
+
+    A row does not grow with its tree, so this is the form for trees and table lists of any size; a
+    list per node is spelled out only by :func:`subtree_tables`. ``ordinal`` counts from 1.
+    """
+    small, large = largetrees.split(plan_nodes, config, counted)
+    walked = walked_trees(gather_trees(small, TREE_FIELDS))
+    rows = walked.select("query_id", "names", F.explode_outer("walk").alias("item"))
+    listed = rows.filter(F.col("item").isNotNull()).select(
+        "query_id",
+        "item.node.node_id",
+        F.posexplode(
+            tables_between(F.col("names"), F.col("item.lead"), F.col("item.position"))
+        ).alias("place", "table_name"),
+    )
+    ordinal = (F.col("place") + 1).alias("ordinal")
+    result = listed.select("query_id", "node_id", ordinal, "table_name")
+    if large is None:
+        return result
+    found = largetrees.table_positions(largetrees.place(large), F.col("table_name"))
+    order = Window.partitionBy(*largetrees.NODE_KEY).orderBy("position")
+    numbered = found.withColumn("ordinal", F.row_number().over(order))
+    return result.unionByName(numbered.select("query_id", "node_id", "ordinal", "table_name"))
+
+
+def query_table_rows(
+    plan_nodes: DataFrame, config: SpanConfig = SpanConfig(), counted: DataFrame | None = None
+) -> DataFrame:
+    """The tables of :func:`query_tables` as rows ``(query_id, table_name)``, none per query without
+    tables. A row does not grow with its tree."""
+    small, large = largetrees.split(plan_nodes, config, counted)
+    walked = walked_trees(gather_trees(small, TREE_FIELDS))
+    # Outer, because the inner form would repeat the whole walk in an inferred filter.
+    rows = walked.select("query_id", F.explode_outer(sorted_tables(F.col("names"))).alias("table_name"))
+    result = rows.filter(F.col("table_name").isNotNull())
+    if large is None:
+        return result
+    nodes = largetrees.place(large).nodes.filter(F.col("table_name").isNotNull())
+    return result.unionByName(nodes.select("query_id", "table_name").distinct())
+
+
 def query_tables(
     plan_nodes: DataFrame, config: SpanConfig = SpanConfig(), counted: DataFrame | None = None
 ) -> DataFrame:
@@ -396,11 +440,13 @@ def large_shown(placed_nodes: DataFrame) -> DataFrame:
     return placed_nodes.groupBy("query_id").agg(last.alias("shown"))
 
 
-def large_query_tables(placed_nodes: DataFrame) -> DataFrame:
-    """The tables of :func:`query_tables` for trees that do not fit one row; a name is gathered once per query."""
-    return (
-        placed_nodes.select("query_id", "table_name")
-        .distinct()
-        .groupBy("query_id")
-        .agg(F.sort_array(F.collect_list("table_name")).alias("tables"))
+def large_query_tables(placed_nodes: DataFrame, first: int | None = None) -> DataFrame:
+    """The tables of :func:`query_tables` for trees that do not fit one row; a name is gathered once
+    per query. With ``first`` only so many of the sorted names are kept, which bounds the list."""
+    names = placed_nodes.select("query_id", "table_name").distinct()
+    if first is not None:
+        order = Window.partitionBy("query_id").orderBy(F.col("table_name").asc_nulls_last())
+        names = names.withColumn("_n", F.row_number().over(order)).filter(F.col("_n") <= first)
+    return names.groupBy("query_id").agg(
+        F.sort_array(F.collect_list("table_name")).alias("tables")
     )

@@ -14,6 +14,7 @@ from spanloom.operators.lineage import cut_lineage
 from spanloom.operators.slow import slow_executions
 from spanloom.operators.spans import (
     EXECUTION_COLUMNS,
+    NAME_MAX_BYTES,
     NODE_EXECUTION_COLUMNS,
     as_plan_rows,
     as_query_rows,
@@ -142,7 +143,9 @@ def _spans_of_large_trees(
         max_broadcast_bytes=config.max_broadcast_bytes,
         salts=config.join_salts,
     )
-    query_rows = prepared.join(plantree.large_query_tables(placed.nodes), "query_id").join(
+    # Every name takes two bytes at least with its comma, so a bounded name holds none beyond these.
+    tables = plantree.large_query_tables(placed.nodes, first=NAME_MAX_BYTES)
+    query_rows = prepared.join(tables, "query_id").join(
         plantree.large_shown(placed.nodes), "query_id"
     )
     return project_spans(

@@ -8,7 +8,15 @@ import pytest
 
 from pyspark.sql import functions as F
 
-from spanloom import SpanConfig, nest_plans, query_tables, subtree_tables, walk_plans
+from spanloom import (
+    SpanConfig,
+    nest_plans,
+    query_table_rows,
+    query_tables,
+    subtree_table_rows,
+    subtree_tables,
+    walk_plans,
+)
 from spanloom.operators import largetrees, plantree
 from spanloom.schemas import SPAN_NODE
 from tests.data import executions, plan_nodes
@@ -130,6 +138,43 @@ def test_subtree_tables_by_joins(placed):
     assert subtree_rows(placed.nodes.join(tables, largetrees.NODE_KEY, "left")) == wanted
 
 
+def test_pointers_that_settle_are_not_moved_again(nodes, placed):
+    """The chain of 90 nodes takes seven rounds, most trees three."""
+    assert placed.moved == sorted(placed.moved, reverse=True)
+    assert len(placed.moved) >= 7 and placed.moved[5] < placed.moved[0] / 5
+    # Circles move until the number of rounds is used up.
+    assert placed.moved[-1] == 2
+
+
+def test_settled_nodes_are_read_in_place(spark, nodes):
+    state = largetrees._State(spark)
+    pointed = nodes.select(*largetrees.NODE_KEY, F.col("parent_node_id").alias("up"))
+    state.add(pointed, 0)
+    threshold = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    found = largetrees._look_up(state.moving(0), [state.settled(), state.moving(0)], ["up"], None)
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+    assert plan.count("Exchange") == 1 and plan.count("Bucketed: true") == 2
+    assert found.filter("above is not null").count() > 300
+    state.forget()
+
+
+def test_tables_as_rows_on_both_routes(nodes):
+    some = nodes.filter("query_id in (3, 100, 102)")
+    wanted = sorted(
+        (*key, i + 1, table)
+        for key, value in expected(forest()).items()
+        if key[0] in (3, 100, 102)
+        for i, table in enumerate(value[1])
+    )
+    of_queries = {(key[0], t) for key, v in expected(forest()).items() if v[0] == "" for t in v[1]}
+    for config in (SpanConfig(), SPLIT):
+        assert sorted(map(tuple, subtree_table_rows(some, config).collect())) == wanted
+    rows = query_table_rows(some, SPLIT).collect()
+    assert sorted(map(tuple, rows)) == sorted(r for r in of_queries if r[0] in (3, 100, 102))
+
+
 def check_visible(df):
     wanted = {k: v[3:] for k, v in expected(forest()).items() if v[2]}
     rows = df.collect()
