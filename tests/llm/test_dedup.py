@@ -136,12 +136,13 @@ def test_merged_transforms(monkeypatch, length, shard_bytes):
                 assert value == min(d for t, d in zip(strings, ids) if s[i : i + length] in t)
 
 
-def brute_components(rows, percent=90):
+def brute_components(rows, percent=90, size=3):
     sets = []
     for r in rows:
         text = "".join(chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in r[1] or "")
         w = WORD.findall(text)
-        sets.append({tuple(w[i : i + 3]) for i in range(len(w) - 2)} or ({tuple(w)} if w else set()))
+        windows = {tuple(w[i : i + size]) for i in range(len(w) - size + 1)}
+        sets.append(windows or ({tuple(w)} if w else set()))
     group = list(range(len(rows)))
     for i in range(len(rows)):
         for j in range(i):
