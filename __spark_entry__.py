@@ -333,6 +333,79 @@ def otlp_documents(c: Capture) -> DataFrame:
     )
 
 
+_SENT_DDL = """resourceSpans ARRAY<STRUCT<
+  resource STRUCT<attributes ARRAY<STRUCT<key STRING, value STRUCT<stringValue STRING>>>>,
+  scopeSpans ARRAY<STRUCT<scope STRUCT<name STRING, version STRING>, spans ARRAY<STRUCT<
+    spanId STRING, attributes ARRAY<STRUCT<key STRING, value STRUCT<stringValue STRING,
+      doubleValue DOUBLE, intValue STRING, boolValue BOOLEAN,
+      arrayValue STRUCT<values ARRAY<STRUCT<stringValue STRING>>>>>>>>>>>>"""
+
+
+def _sent_attributes(documents: DataFrame) -> DataFrame:
+    """Scope and attribute values of all spans in export documents."""
+    parsed = documents.select(F.from_json("document", _SENT_DDL).alias("d"))
+    of_resource = parsed.select(F.explode("d.resourceSpans").alias("r"))
+    of_scope = of_resource.select(
+        F.col("r.resource.attributes")[0]["value"]["stringValue"].alias("service_name"),
+        F.explode("r.scopeSpans").alias("c"),
+    )
+    spans = of_scope.select("service_name", "c.scope", F.explode("c.spans").alias("s"))
+    attributes = spans.select(
+        "service_name", "scope", "s.spanId", F.posexplode("s.attributes").alias("position", "a")
+    )
+    value = F.col("a.value")
+    return attributes.select(
+        "service_name",
+        F.col("scope.name").alias("scope_name"),
+        F.col("scope.version").alias("scope_version"),
+        F.col("spanId").alias("span_id"),
+        "position",
+        "a.key",
+        value["stringValue"].alias("string_value"),
+        value["doubleValue"].alias("double_value"),
+        value["intValue"].cast("bigint").alias("int_value"),
+        value["boolValue"].alias("bool_value"),
+        F.array_join(value["arrayValue"]["values"]["stringValue"], ", ").alias("array_value"),
+    )
+
+
+def otlp_files(c: Capture) -> DataFrame:
+    """Export documents written by one run, which is done a second time, and read back."""
+    path = _scratch(c.spark, "documents")
+    for _ in range(2):
+        documents = sl.otlp_batches(_spans(c), oracle.BATCH_BUCKETS, BATCH_CONFIG)
+        sl.write_spans(documents, path, "otlp_json", "replace", run_id="all")
+    return _sent_attributes(sl.read_documents(c.spark, path))
+
+
+def _streamed(c: Capture, fmt: str) -> tuple[str, str]:
+    """Nested executions landed as files and streamed; the folders of spans and of the checkpoint."""
+    spark = c.spark
+    landing, sink, offsets = (_scratch(spark, n) for n in ("landing", "streamed", "offsets"))
+    _nested(c).rows.write.parquet(landing)
+    stream = sl.read_executions(spark, landing, streaming=True, maxFilesPerTrigger="4")
+    query = sl.stream_spans(
+        stream, sink, offsets, config=CONFIG, fmt=fmt, period="year", available_now=True
+    )
+    query.awaitTermination()
+    return sink, offsets
+
+
+def stream_otlp(c: Capture) -> DataFrame:
+    """Export documents of a stream, read back."""
+    sink, _ = _streamed(c, "otlp_json")
+    return _sent_attributes(c.spark.read.text(sink).select(F.col("value").alias("document")))
+
+
+def stream_compacted(c: Capture) -> DataFrame:
+    """Spans of a stream after its small folders were rewritten by year, twice over."""
+    sink, offsets = _streamed(c, "parquet")
+    table = _scratch(c.spark, "compacted")
+    for drop in (False, True):
+        sl.compact_spans(c.spark, sink, offsets, table, period="year", drop=drop)
+    return _plain(sl.read_compacted(c.spark, sink, table))
+
+
 def span_files(c: Capture) -> DataFrame:
     """The span table written by year as Parquet and read back."""
     spark = c.spark
@@ -396,8 +469,11 @@ _QUERIES: dict[str, Callable[[Capture], DataFrame]] = {
     "span_resources": span_resources,
     "otlp_batches": otlp_batches,
     "otlp_documents": otlp_documents,
+    "otlp_files": otlp_files,
     "span_files": span_files,
     "stream_spans": stream_spans,
+    "stream_otlp": stream_otlp,
+    "stream_compacted": stream_compacted,
 }
 
 # The same operators over trees of which some exceed ``max_tree_nodes`` from sf0.01 on.

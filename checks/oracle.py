@@ -271,6 +271,14 @@ def _exploded(source: str, keys: list[tuple[str, str, str]]) -> str:
     return " UNION ALL ".join(row(i, *k) for i, k in enumerate(keys))
 
 
+def _sent() -> str:
+    """The attributes of both kinds of spans as export documents carry them."""
+    scope = "service AS service_name, 'spanloom' AS scope_name, '0.1.0' AS scope_version, span_id"
+    kinds = [("query_span", _QUERY_KEYS), ("plan_span", _PLAN_KEYS)]
+    rows = " UNION ALL ".join(_exploded(*k).replace("query_id, node_id", scope) for k in kinds)
+    return _with([source for source, _ in kinds], f"SELECT * FROM ({rows}) t")
+
+
 def _with(needs: list[str], select: str, deep: bool = False) -> str:
     """``select`` preceded by what it needs, in order of definition."""
     texts = _PARTS | _DEEP_PARTS if deep else _PARTS
@@ -376,6 +384,9 @@ def statements() -> dict[str, str]:
             ["subtrees"], "SELECT query_id, node_id, side_path, tables, visible FROM subtrees"
         ),
         "stream_spans": spans,
+        "stream_compacted": spans,
+        "otlp_files": _sent(),
+        "stream_otlp": _sent(),
         "span_files": spans,
         "query_attributes": _with(["query_span"], _exploded("query_span", _QUERY_KEYS)),
         "plan_attributes": _with(["plan_span"], _exploded("plan_span", _PLAN_KEYS)),

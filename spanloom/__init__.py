@@ -14,22 +14,27 @@ from spanloom.operators.plantree import (
 from spanloom.operators.slow import slow_executions
 from spanloom.operators.spans import plan_spans, query_spans
 from spanloom.plans.build import build_spans, spans_from_nested, spans_from_nodes
-from spanloom.sinks.files import write_spans
+from spanloom.sinks.files import read_documents, read_spans, write_spans
 from spanloom.sources.intake import nest_plans, read_executions, read_plan_nodes
+from spanloom.streaming.compaction import compact_spans, read_compacted
 from spanloom.streaming.continuous import stream_spans
 
 __all__ = [
     "SpanConfig",
     "attach_trace_context",
     "build_spans",
+    "compact_spans",
     "nest_plans",
     "otlp_batches",
     "plan_spans",
     "query_spans",
     "query_table_rows",
     "query_tables",
+    "read_compacted",
+    "read_documents",
     "read_executions",
     "read_plan_nodes",
+    "read_spans",
     "resolve_relations",
     "slow_executions",
     "spans_from_nested",
