@@ -3,11 +3,15 @@
 from __future__ import annotations
 
 from functools import reduce
-from operator import or_
+from operator import and_, or_
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from spanloom.operators.lineage import cut_lineage
+
+# Keys that are looked for as hot ones, in the sketch and in the broadcast of what it finds.
+MAX_HOT_KEYS = 1000
 # Allowance per row for fixed-width values and row headers.
 _ROW_OVERHEAD_BYTES = 64
 
@@ -21,6 +25,30 @@ def measured_bytes(df: DataFrame) -> int:
     return df.agg(F.sum(width).alias("bytes")).first()["bytes"] or 0
 
 
+def hot_keys(large: DataFrame, on: list[str], partitions: int, salts: int) -> DataFrame:
+    """``(_hash, _salts)`` of the keys with more rows than a task's share: how many tasks each needs,
+    at most ``salts``.
+
+    One pass with a sketch of frequent items. A key above the share is among the tracked ones, and at
+    most as many keys as there are ``partitions`` can be, so the result is small by construction.
+    """
+    known = reduce(and_, (F.col(c).isNotNull() for c in on))
+    hashed = large.filter(known).select(F.xxhash64(*on).alias("_hash"))
+    # Frequent items may be missed only below total / tracked; allow for a margin of eight.
+    top, tracked = min(partitions, MAX_HOT_KEYS), max(1000, 8 * min(partitions, MAX_HOT_KEYS))
+    found = hashed.agg(
+        F.call_function("approx_top_k", F.col("_hash"), F.lit(top), F.lit(tracked)).alias("_top"),
+        F.count(F.lit(1)).alias("_total"),
+    )
+    share = F.greatest(F.col("_total") / partitions, F.lit(1))
+    needed = F.ceil(F.col("_item.count") / share).cast("bigint")
+    return (
+        found.select("_total", F.explode("_top").alias("_item"))
+        .filter(F.col("_item.count") > share)
+        .select(F.col("_item.item").alias("_hash"), F.least(needed, F.lit(salts)).alias("_salts"))
+    )
+
+
 def checked_join(
     large: DataFrame,
     lookup: DataFrame,
@@ -30,19 +58,27 @@ def checked_join(
     max_broadcast_bytes: int,
     salts: int,
 ) -> DataFrame:
-    """Join on ``on``: broadcast ``lookup`` when its measured size allows, else salt the keys.
+    """Join on ``on``: broadcast ``lookup`` when its measured size allows, else by a shuffle in which
+    hot keys are salted.
 
-    Salting spreads the rows of a hot key over ``salts`` tasks, and those of a null key over all, by
-    the columns ``spread``; ``lookup`` is repeated once per salt. Both ways give the same rows.
+    A key that has more rows than a task's share is spread over as many tasks as it fills, at most
+    ``salts``, by the columns ``spread``; only its rows of ``lookup`` are repeated. Rows with a null key
+    go to any task. Both ways give the same rows.
     """
     if measured_bytes(lookup) <= max_broadcast_bytes:
         return large.join(F.broadcast(lookup), on, how)
+    partitions = int(large.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    hot = cut_lineage(hot_keys(large, on, partitions, salts))
+
+    def marked(df: DataFrame) -> DataFrame:
+        hashed = df.withColumn("_hash", F.xxhash64(*on))
+        return hashed.join(F.broadcast(hot), "_hash", "left").drop("_hash")
+
     spread_hash = F.xxhash64(*spread)
     no_key = reduce(or_, (F.col(c).isNull() for c in on))  # meets nothing, so it may go anywhere
-    salt = F.when(no_key, spread_hash).otherwise(F.pmod(spread_hash, F.lit(salts)))
-    every_salt = F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(salts - 1).cast("bigint")))
-    return (
-        large.withColumn("_salt", salt)
-        .join(lookup.withColumn("_salt", every_salt), [*on, "_salt"], how)
-        .drop("_salt")
-    )
+    ways = F.coalesce("_salts", F.lit(1))
+    salt = F.when(no_key, spread_hash).otherwise(F.pmod(spread_hash, ways))
+    every_salt = F.explode(F.sequence(F.lit(0).cast("bigint"), ways - 1))
+    salted = marked(large).withColumn("_salt", salt).drop("_salts")
+    repeated = marked(lookup).withColumn("_salt", every_salt).drop("_salts")
+    return salted.join(repeated, [*on, "_salt"], how).drop("_salt")

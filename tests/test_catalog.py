@@ -1,7 +1,7 @@
 from pyspark.sql import functions as F
 
 from spanloom import SpanConfig, resolve_relations
-from spanloom.operators.joins import checked_join
+from spanloom.operators.joins import checked_join, hot_keys
 from tests.data import catalog, plan_nodes
 
 
@@ -42,3 +42,24 @@ def test_salted_joins_agree_with_broadcast(spark):
 
     for how in ("left", "inner", "left_semi", "left_anti"):
         assert run(how, 1 << 20) == run(how, 0)
+
+
+def test_only_hot_keys_are_salted(spark):
+    """One key holds half of all rows; its row of the lookup is repeated, the others are not."""
+    large = spark.range(8000).select(
+        F.col("id").alias("row"), F.when(F.col("id") % 2 == 0, 7).otherwise(F.col("id")).alias("key")
+    )
+    lookup = spark.range(9000).select(F.col("id").alias("key"), F.lit("x").alias("label"))
+    partitions = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    (hot,) = hot_keys(large, ["key"], partitions, 32).collect()
+    assert hot._salts == -(-4001 * partitions // 8000)  # as many tasks as it fills
+    assert hot_keys(lookup, ["key"], partitions, 32).count() == 0
+    assert hot_keys(large.filter("false"), ["key"], partitions, 32).count() == 0
+    threshold = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    joined = checked_join(large, lookup, ["key"], ["row"], "inner", 0, 32)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+    assert joined.count() == 8000 and joined.select("row").distinct().count() == 8000
+    salts = spark.createDataFrame([(hot._hash, hot._salts)], "_hash long, _salts long")
+    repeated = lookup.withColumn("_hash", F.xxhash64("key")).join(salts, "_hash").count()
+    assert repeated == 1
