@@ -127,6 +127,20 @@ def comment_traceparents(c: Capture) -> DataFrame:
     return c.executions.select("query_id", found.alias("traceparent"))
 
 
+# Every 97th execution lands as a line that breaks off, every other 89th one without its id.
+_LANDED_SQL = """SELECT CASE WHEN query_id % 97 = 0 THEN concat('{{"query_id": ', query_id, ', "total_ns": ')
+  WHEN query_id % 89 = 0 THEN concat('{{"total_ns": ', total_ns, '}}')
+  ELSE to_json(struct(*)) END AS value FROM {executions}"""
+
+
+def landed_executions(c: Capture) -> DataFrame:
+    """Executions landed as JSON lines and read back, with the lines that are damaged."""
+    path = _scratch(c.spark, "landed")
+    c.spark.sql(_LANDED_SQL, executions=c.executions).write.text(path)
+    rows, damaged = sl.read_landed_executions(c.spark, path)
+    return rows.unionByName(damaged.select("line", "reason"), allowMissingColumns=True)
+
+
 def trace_context(c: Capture) -> DataFrame:
     return _in_context(c.executions).select(
         "query_id", "has_context", "trace_id", "parent_span_id"
@@ -443,6 +457,7 @@ _QUERIES: dict[str, Callable[[Capture], DataFrame]] = {
     "slow_query_times": slow_query_times,
     "operation_labels": operation_labels,
     "comment_traceparent": comment_traceparents,
+    "landed_executions": landed_executions,
     "trace_context": trace_context,
     "relation_names": relation_names,
     "nested_plans": nested_plans,

@@ -341,6 +341,17 @@ def statements() -> dict[str, str]:
             ["commented"],
             "SELECT query_id, found AS traceparent FROM executions LEFT JOIN commented USING (query_id)",
         ),
+        "landed_executions": _with(
+            ["executions"],
+            """SELECT *, CAST(NULL AS VARCHAR) AS line, CAST(NULL AS VARCHAR) AS reason
+            FROM executions WHERE query_id % 97 <> 0 AND query_id % 89 <> 0
+            UNION ALL BY NAME
+            SELECT '{"query_id": ' || query_id || ', "total_ns": ' AS line, 'unreadable' AS reason
+            FROM executions WHERE query_id % 97 = 0
+            UNION ALL BY NAME
+            SELECT '{"total_ns": ' || total_ns || '}' AS line, 'no id' AS reason
+            FROM executions WHERE query_id % 97 <> 0 AND query_id % 89 = 0""",
+        ),
         "trace_context": _with(["context"], "SELECT * FROM context"),
         "relation_names": _with(["named"], "SELECT query_id, node_id, table_name FROM named"),
         "nested_plans": _with(["executions", "plan_nodes"], _NESTED),

@@ -16,6 +16,7 @@ from spanloom.operators.spans import plan_spans, query_spans
 from spanloom.plans.build import build_spans, spans_from_nested, spans_from_nodes
 from spanloom.sinks.files import read_documents, read_spans, write_spans
 from spanloom.sources.intake import nest_plans, read_executions, read_plan_nodes
+from spanloom.sources.landing import read_landed_executions, read_landed_plan_nodes
 from spanloom.streaming.compaction import compact_spans, read_compacted
 from spanloom.streaming.continuous import stream_spans
 
@@ -33,6 +34,8 @@ __all__ = [
     "read_compacted",
     "read_documents",
     "read_executions",
+    "read_landed_executions",
+    "read_landed_plan_nodes",
     "read_plan_nodes",
     "read_spans",
     "resolve_relations",

@@ -25,6 +25,18 @@ def measured_bytes(df: DataFrame) -> int:
     return df.agg(F.sum(width).alias("bytes")).first()["bytes"] or 0
 
 
+def free_names(taken: list[str], *wanted: str) -> list[str]:
+    """``wanted`` names, lengthened until none of them is taken."""
+    used = {name.lower() for name in taken}
+    names = []
+    for name in wanted:
+        while name in used:
+            name += "_"
+        used.add(name)
+        names.append(name)
+    return names
+
+
 def hot_keys(large: DataFrame, on: list[str], partitions: int, salts: int) -> DataFrame:
     """``(_hash, _salts)`` of the keys with more rows than a task's share: how many tasks each needs,
     at most ``salts``.
@@ -69,16 +81,18 @@ def checked_join(
         return large.join(F.broadcast(lookup), on, how)
     partitions = int(large.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     hot = cut_lineage(hot_keys(large, on, partitions, salts))
+    hashed, ways, salt = free_names([*large.columns, *lookup.columns], "_hash", "_salts", "_salt")
+    hot = hot.withColumnsRenamed({"_hash": hashed, "_salts": ways})
 
     def marked(df: DataFrame) -> DataFrame:
-        hashed = df.withColumn("_hash", F.xxhash64(*on))
-        return hashed.join(F.broadcast(hot), "_hash", "left").drop("_hash")
+        keyed = df.withColumn(hashed, F.xxhash64(*on))
+        return keyed.join(F.broadcast(hot), hashed, "left").drop(hashed)
 
     spread_hash = F.xxhash64(*spread)
     no_key = reduce(or_, (F.col(c).isNull() for c in on))  # meets nothing, so it may go anywhere
-    ways = F.coalesce("_salts", F.lit(1))
-    salt = F.when(no_key, spread_hash).otherwise(F.pmod(spread_hash, ways))
-    every_salt = F.explode(F.sequence(F.lit(0).cast("bigint"), ways - 1))
-    salted = marked(large).withColumn("_salt", salt).drop("_salts")
-    repeated = marked(lookup).withColumn("_salt", every_salt).drop("_salts")
-    return salted.join(repeated, [*on, "_salt"], how).drop("_salt")
+    times = F.coalesce(F.col(ways), F.lit(1))
+    own_salt = F.when(no_key, spread_hash).otherwise(F.pmod(spread_hash, times))
+    every_salt = F.explode(F.sequence(F.lit(0).cast("bigint"), times - 1))
+    salted = marked(large).withColumn(salt, own_salt).drop(ways)
+    repeated = marked(lookup).withColumn(salt, every_salt).drop(ways)
+    return salted.join(repeated, [*on, salt], how).drop(salt)

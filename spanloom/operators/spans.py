@@ -15,6 +15,8 @@ from pyspark.sql import functions as F
 from spanloom.config import SpanConfig
 from spanloom.functions import ids
 from spanloom.functions.text import cut_bytes, with_bounded_text
+from spanloom.operators.joins import checked_join
+from spanloom.operators.lineage import cut_lineage
 from spanloom.schemas import SPAN_NODE, SPANS
 
 # Bounds in bytes and the prefix of plan-span names.
@@ -227,7 +229,16 @@ def plan_spans(
     """One span per visible node, from :func:`~spanloom.operators.plantree.walk_plans` and the
     executions with trace context they belong to."""
     prepared = prepare_executions(executions, config).select(NODE_EXECUTION_COLUMNS)
-    return project_spans(as_plan_rows(walked_plans.join(prepared, "query_id")), config)
+    rows = checked_join(
+        walked_plans,
+        cut_lineage(prepared),
+        on=["query_id"],
+        spread=["node.node_id"],
+        how="inner",
+        max_broadcast_bytes=config.max_broadcast_bytes,
+        salts=config.join_salts,
+    )
+    return project_spans(as_plan_rows(rows), config)
 
 
 def as_plan_rows(rows: DataFrame) -> DataFrame:
