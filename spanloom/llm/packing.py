@@ -40,9 +40,7 @@ def _tokenizer(path: str):
     from tokenizers import Tokenizer
 
     os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a task has one core
-    tokenizer = Tokenizer.from_file(path)
-    tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
-    return tokenizer
+    return Tokenizer.from_file(path)
 
 
 def vocabulary_path(name: str) -> str:
@@ -76,6 +74,9 @@ class ChunkCoder:
         self.cached_chunks = cached_chunks
         self.tokenizer = _tokenizer(path)
         self.line_feed = self._encode(["\n"])[0].ids[0]
+        # Strings of added tokens, which have no white space, so that none goes on in another chunk.
+        decoder = self.tokenizer.get_added_tokens_decoder()
+        self.added = [token.content.encode() for token in decoder.values()]
         self._forget()
 
     def _forget(self) -> None:
@@ -88,7 +89,7 @@ class ChunkCoder:
         if len(self.known) + len(missing) > self.cached_chunks:
             self._forget()
             missing = chunks
-        plain = [c for c in missing if _PLAIN.fullmatch(c)]
+        plain = [c for c in missing if _PLAIN.fullmatch(c) and not any(a in c for a in self.added)]
         for at in range(0, len(plain), _JOINED):
             self._learn_joined(plain[at : at + _JOINED])
         self._learn([c for c in missing if c not in self.known])
