@@ -38,10 +38,9 @@ UNKNOWN = "und"
 class LanguageConfig:
     vocabulary: str = "byte_bpe_multi_50k.tiktoken"
     vocabulary_file: str | None = None
-    # Labelled documents that the fit rests on, chosen by hash; about so many at any input size.
-    sample_documents: int = 6000
-    # Longest part of a sampled text that is used, in characters.
-    sample_chars: int = 20_000
+    # Labelled documents that the fit rests on, chosen by hash; about so many at any input size. Their
+    # texts are used whole.
+    sample_documents: int = 4000
     rounds: int = 3
     smoothing: float = 0.05
     seed: int = 29
@@ -226,9 +225,7 @@ def fit_languages(labelled: DataFrame, config: LanguageConfig = LanguageConfig()
         *(x for lang, n in by_lang.items() for x in (F.lit(lang), F.lit(int(min(1, share / n) * scale))))
     )
     draw = F.pmod(F.xxhash64(F.lit(config.seed), "doc_id"), F.lit(scale))
-    sample = usable.filter(draw < limits[F.col("lang")]).select(
-        "lang", F.substring("text", 1, config.sample_chars).alias("text")
-    )
+    sample = usable.filter(draw < limits[F.col("lang")]).select("lang", "text")
     words = cut_lineage(
         sample.mapInArrow(_count_words, "lang string, word binary, n long")
         .groupBy("lang", "word")
