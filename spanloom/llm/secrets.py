@@ -64,8 +64,8 @@ INNER = re.compile(
     r"(?![A-Za-z0-9])"
 )
 
-SPAN_DDL = """doc_id long, n_assign long, n_access long, n_hex long, n_random long,
-  base_sha256 string, spans string"""
+SPAN_DDL = """doc_id long, n_assign long, n_access long, n_hex long, base_sha256 string, spans string,
+  n_random long"""
 
 
 @cache
@@ -171,10 +171,20 @@ def _random_inside(run: str, encoding, most: float) -> list[tuple[int, int]]:
 
 def random_spans(text: str, encoding, base, most: float) -> list[tuple[int, int, int]]:
     """Spans outside the base spans, of runs of key characters, with few characters per token."""
-    taken = [(s, e) for s, _, e in base]
-    found = []
+    taken: list[list[int]] = []  # base spans, those that touch as one
+    for start, end in sorted((s, e) for s, _, e in base):
+        if taken and start <= taken[-1][1]:
+            taken[-1][1] = max(taken[-1][1], end)
+        else:
+            taken.append([start, end])
+    found, first = [], 0
     for m in RUN.finditer(text):
-        for start, end in _outside(*m.span(), taken):
+        while first < len(taken) and taken[first][1] <= m.start():
+            first += 1
+        last = first
+        while last < len(taken) and taken[last][0] < m.end():
+            last += 1
+        for start, end in _outside(*m.span(), taken[first:last]):
             inside = _random_inside(text[start:end], encoding, most)
             found += [(start + a, 3, start + b) for a, b in inside]
     return found
@@ -194,9 +204,9 @@ def _scan(path: str | None, name: str, most: float):
                 added = random_spans(text or "", encoding, base, most)
                 counts = [sum(k == kind for _, k, _ in base) for kind in (0, 1, 2)]
                 digest = hashlib.sha256(_joined(base).encode()).hexdigest()
-                rows.append((doc_id, *counts, len(added), digest, _joined(base + added)))
+                rows.append((doc_id, *counts, digest, _joined(base + added), len(added)))
             columns = list(zip(*rows))
-            kinds = [pa.int64()] * 5 + [pa.string()] * 2
+            kinds = [pa.int64()] * 4 + [pa.string()] * 2 + [pa.int64()]
             names = [c.split()[0] for c in SPAN_DDL.split(",")]
             yield pa.RecordBatch.from_arrays(
                 [pa.array(c, k) for c, k in zip(columns, kinds)], names=names

@@ -57,6 +57,83 @@ def test_secrets(spark):
     assert scan_secrets(rows.limit(0)).count() == 0
 
 
+def brute_base(text):
+    """Base spans by walking along the text, without a pattern for a whole kind."""
+    alnum = string.ascii_letters + string.digits
+    keys = ["password", "passwd", "secret", "token", "apikey", "api_key"]
+    lowered = "".join(c.lower() if c.isascii() else c for c in text)
+    found = []
+
+    def walk(kind, match):
+        at = 0
+        while at < len(text):
+            hit = match(at)
+            if hit is None:
+                at += 1
+                continue
+            end, counts = hit
+            if counts:
+                found.append((at, kind, end))
+            at = end
+
+    def run(at, letters):
+        while at < len(text) and text[at] in letters:
+            at += 1
+        return at
+
+    def assign(at):
+        key = next((k for k in keys if lowered.startswith(k, at)), None)
+        if key is None:
+            return None
+        here = at + len(key)
+        here += text[here : here + 1] in ('"', "'") and here < len(text)
+        here = run(here, " ")
+        if text[here : here + 1] not in (":", "="):
+            return None
+        here = run(here + 1, " ")
+        here += text[here : here + 1] in ('"', "'") and here < len(text)
+        end = run(here, alnum + "+/_.=-")
+        return (end, end - here >= 8) if end > here else None
+
+    def access(at):
+        end = run(at + 4, string.ascii_uppercase + string.digits)
+        return (end, end - at >= 16) if text.startswith("AKIA", at) and end > at + 4 else None
+
+    def hexes(at):
+        end = run(at, "0123456789abcdef")
+        return (end, end - at >= 32) if end > at else None
+
+    for kind, match in enumerate((assign, access, hexes)):
+        walk(kind, match)
+    return sorted(found)
+
+
+def test_secrets_of_odd_rows_and_random_texts(spark):
+    rng = random.Random(4)
+    parts = ["password", "Secret", "TOKEN", "api_key", "ApiKey", "passwd", "=", ":", " ", '"', "'", "é", "\n",
+             "AKIA", "AKIAAB12", "a1b2c3d4", "f" * 31, "0" * 33, "xyz/+_-.", "G7" * 9, "="]
+    texts = ["".join(rng.choices(parts, k=rng.randrange(1, 40))) for _ in range(400)]
+    texts += [" ".join(hashlib.md5(b"%d" % i).hexdigest() for i in range(3000))]
+    rows = documents() + [(1000 + i, t, None, None, None, None) for i, t in enumerate(texts)]
+    found = scan_secrets(table(spark, rows))
+    assert found.columns[-1] == "n_random"
+    wanted = []
+    for doc_id, text, *_ in rows:
+        base = brute_base(text or "")
+        counts = [sum(k == kind for _, k, _ in base) for kind in range(3)]
+        listed = ",".join(f"{('assign', 'access', 'hex')[k]}:{a}:{b}" for a, k, b in base)
+        wanted.append((doc_id, *counts, hashlib.sha256(listed.encode()).hexdigest()))
+    got = [(r.doc_id, r.n_assign, r.n_access, r.n_hex, r.base_sha256) for r in found.collect()]
+    assert sorted(got, key=sort_key) == sorted(wanted, key=sort_key)
+    for r in found.collect():
+        spans = [s.split(":") for s in r.spans.split(",") if s]
+        assert len(spans) == r.n_assign + r.n_access + r.n_hex + r.n_random
+        base = [(int(a), int(b)) for kind, a, b in spans if kind != "random"]
+        own = [(int(a), int(b)) for kind, a, b in spans if kind == "random"]
+        if len(base) < 200:
+            assert all(b <= c or d <= a for a, b in own for c, d in base)
+
+
 def random_of(text):
     found = random_spans(text, _encoding(vocabulary_path("byte_bpe_50k.tiktoken")), base_spans(text), 2.4)
     return [text[a:b] for a, _, b in sorted(found)]
@@ -262,9 +339,9 @@ def test_packing(spark, most):
     from tokenizers import Tokenizer
 
     tokenizer = Tokenizer.from_file(vocabulary_path("byte_bpe_50k.json"))
-    odd = ["a\u00a0 b\n\n  c  ", "it's  \u2003 x\tüü é à  z", "\n a", " <|endoftext|> x", "日本 語 \u3000 x"]
+    odd = ["a\u00a0 b\n\n  c  ", "it's  \u2003 x\tüü é à  z", "\n a", " <|endoftext|> x", "日本 語 \u3000 x",
+           "a b <|endoftext|> c d", "x<|endoftext|>", "b  <|endoftext|>\n\n<|endoftext|><|endoftext|>y z"]
     rows = documents() + [(200 + i, t, None, None, None, None) for i, t in enumerate(odd)]
-    tokenizer.encode_special_tokens = True
     want = [(r[0], tokenizer.encode(r[1] or "", add_special_tokens=False).ids + [0]) for r in rows]
     got = [(r.doc_id, list(r.ids)) for r in tokenize(table(spark, rows)).collect()]
     assert sorted(got, key=sort_key) == sorted(want, key=sort_key)
