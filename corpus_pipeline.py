@@ -16,7 +16,7 @@ from spanloom.llm.mixing import repeat_documents
 from spanloom.llm.packing import pack_documents
 from spanloom.llm.quality import quality_rules
 from spanloom.llm.words import small_batches
-from spanloom.operators.joins import checked_join
+from spanloom.operators.joins import checked_join, free_names
 from spanloom.operators.lineage import cut_lineage
 
 # Keys of rejected rows are broadcast up to this measured size, else joined by a shuffle.
@@ -30,21 +30,19 @@ NEAR_WORDS, NEAR_PERCENT = 5, 80
 def _key(text: Column | None = None) -> Column:
     """A document's id as text, with its text's digest when rows of one id are told apart."""
     own = F.coalesce(F.col("doc_id").cast("string"), F.lit("null"))
-    return (own if text is None else F.concat(own, F.lit(":"), text)).alias("_key")
+    return own if text is None else F.concat(own, F.lit(":"), text)
 
 
-def _joined(marked: DataFrame, keys: DataFrame, how: str) -> DataFrame:
-    return checked_join(
-        marked, keys, ["_key"], ["_key", "text"], how, MAX_BROADCAST_BYTES, SALTS
-    )
+def _joined(marked: DataFrame, keys: DataFrame, key: str, how: str) -> DataFrame:
+    return checked_join(marked, keys, [key], [key, "text"], how, MAX_BROADCAST_BYTES, SALTS)
 
 
 def _without(docs: DataFrame, decisions: DataFrame, kept: Column) -> DataFrame:
     """The rows of ``docs`` but those of ids that have no row ``kept`` in ``decisions``."""
-    rejected = cut_lineage(
-        decisions.groupBy(_key()).agg(F.max(kept).alias("kept")).filter("not kept").select("_key")
-    )
-    return _joined(docs.select(*docs.columns, _key()), rejected, "left_anti").drop("_key")
+    (key,) = free_names(docs.columns, "_key")
+    found = decisions.groupBy(_key().alias(key)).agg(F.max(kept).alias("kept"))
+    rejected = cut_lineage(found.filter("not kept").select(key))
+    return _joined(docs.select(*docs.columns, _key().alias(key)), rejected, key, "left_anti").drop(key)
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -54,15 +52,16 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def exact(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of equal texts the one with the largest id; of rows that share text and id, one."""
-    found = exact_dedup(docs).groupBy(_key(F.col("text_sha256")))
+    (key,) = free_names(docs.columns, "_key")
+    found = exact_dedup(docs).groupBy(_key(F.col("text_sha256")).alias(key))
     keys = cut_lineage(found.agg(F.max("kept").alias("kept"), F.count("*").alias("n")))
     text = F.sha2(F.coalesce("text", F.lit("")), 256)
-    marked = docs.select(*docs.columns, _key(text))
-    kept = _joined(marked, keys.filter("not kept").select("_key"), "left_anti")
-    tied = keys.filter("kept and n > 1").select("_key")
-    alone = _joined(kept, tied, "left_anti")
-    first = _joined(kept, tied, "left_semi").dropDuplicates(["_key"])
-    return alone.unionByName(first).drop("_key")
+    marked = docs.select(*docs.columns, _key(text).alias(key))
+    kept = _joined(marked, keys.filter("not kept").select(key), key, "left_anti")
+    tied = keys.filter("kept and n > 1").select(key)
+    alone = _joined(kept, tied, key, "left_anti")
+    first = _joined(kept, tied, key, "left_semi").dropDuplicates([key])
+    return alone.unionByName(first).drop(key)
 
 
 def near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
