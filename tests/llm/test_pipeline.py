@@ -62,6 +62,20 @@ def test_near_takes_five_words_and_80_percent(spark):
     assert kept == {0, 2, 3, 4, 6, 7}
 
 
+@pytest.mark.parametrize("limit", [16 << 20, 0])
+def test_columns_that_clash_and_empty_tables(spark, monkeypatch, limit):
+    monkeypatch.setattr(corpus_pipeline, "MAX_BROADCAST_BYTES", limit)
+    plain = table(spark, [r for r in documents() if r[0] != 50])
+    extra = {"_key": F.lit(1), "_salt": F.lit("s"), "_hash": F.lit(2), "_salts": F.lit(3)}
+    docs = plain.withColumns(extra)
+    for _, stage in corpus_pipeline.STAGES[:2]:
+        kept, wanted = stage(spark, docs, SF_DIR), stage(spark, plain, SF_DIR)
+        assert kept.columns == docs.columns
+        assert sorted(kept.drop(*extra).collect(), key=str) == sorted(wanted.collect(), key=str)
+        assert kept.select(*extra).distinct().collect() == [(1, "s", 2, 3)]
+        assert stage(spark, docs.filter("false"), SF_DIR).count() == 0
+
+
 def test_run(spark):
     assert corpus_pipeline.run(spark, SF_DIR).columns[:2] == ["doc_id", "piece"]
 
