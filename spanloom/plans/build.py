@@ -9,7 +9,7 @@ from spanloom.config import SpanConfig
 from spanloom.operators import largetrees, plantree
 from spanloom.operators.catalog import resolve_relations
 from spanloom.operators.context import attach_trace_context
-from spanloom.operators.joins import checked_join
+from spanloom.operators.joins import checked_join, measured_bytes
 from spanloom.operators.lineage import cut_lineage
 from spanloom.operators.slow import slow_executions
 from spanloom.operators.spans import (
@@ -104,17 +104,19 @@ def build_spans(
 ) -> DataFrame:
     """Spans of flat inputs.
 
-    Only nodes of slow executions are shuffled, once, by query. Trees above
+    Only nodes of slow executions are shuffled, once, by query. Where the ids of these fit a broadcast,
+    other nodes are left out where they are read, before trees are counted or shuffled. Trees above
     ``config.max_tree_nodes`` take the joined route and are added to the result.
     """
     prepared = prepare_executions(select_executions(executions, config), config)
     slow_ids = slow_executions(executions, config.default_min_duration_ms).select("query_id")
+    few = measured_bytes(slow_ids) <= config.max_broadcast_bytes
+    of_slow = plan_nodes.join(F.broadcast(slow_ids) if few else slow_ids, "query_id", "left_semi")
 
-    large_ids = largetrees.oversized(plan_nodes, config)
-    small = plan_nodes
+    large_ids = largetrees.oversized(of_slow if few else plan_nodes, config)
+    wanted = of_slow
     if large_ids is not None:
-        small = largetrees.nodes_of(plan_nodes, large_ids, config, others=True)
-    wanted = small.join(slow_ids, "query_id", "left_semi")
+        wanted = largetrees.nodes_of(of_slow, large_ids, config, others=True)
     named = resolve_relations(wanted, relations, namespaces, config)
     trees = plantree.gather_trees(named, SPAN_NODE_FIELDS)
     result = _spans_of_trees(prepared.join(trees, "query_id"), config)

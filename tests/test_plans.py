@@ -13,6 +13,7 @@ from spanloom import (
     subtree_tables,
     walk_plans,
 )
+from spanloom.operators import largetrees
 from spanloom.schemas import NESTED_EXECUTIONS
 from tests.data import catalog, executions, plan_nodes
 from tests.test_spans import tree
@@ -48,8 +49,10 @@ def test_one_walk_and_one_shuffle_of_the_nodes(spans):
     # The tour is the only aggregate() over so many rounds; it must not be repeated.
     assert len(re.findall(TOUR, plan)) == 1
     assert "Python" not in plan and "CartesianProduct" not in plan and "NestedLoop" not in plan
-    # Nodes, slow ids and prepared executions by query; the rest is the small catalog.
-    assert len(re.findall(r"Exchange hashpartitioning\(query_id", plan)) == 3
+    # Nodes and prepared executions by query; the rest is the small catalog. Nodes of fast executions
+    # are left out where they are read.
+    assert len(re.findall(r"Exchange hashpartitioning\(query_id", plan)) == 2
+    assert "BroadcastHashJoin [query_id" in plan
     assert "BroadcastHashJoin [_scanned_oid" in plan
 
 
@@ -70,6 +73,19 @@ def test_nested_input_needs_no_shuffle(spark, tmp_path):
     assert "Exchange" not in plan
 
 
+def test_trees_are_counted_without_nodes_of_fast_executions(spark, monkeypatch):
+    counted = []
+    real = largetrees.oversized
+    monkeypatch.setattr(largetrees, "oversized", lambda nodes, c: counted.append(nodes) or real(nodes, c))
+    runs = executions(spark, {}, {"query_id": 2, "min_duration_ms": -1})
+    nodes = plan_nodes(spark, *tree(1, 3), *tree(2, 5))
+    build_spans(runs, nodes, *catalog(spark), CONFIG)
+    assert counted[0].count() == 3
+    # Without room for a broadcast of the ids, counts are combined before they are filtered.
+    build_spans(runs, nodes, *catalog(spark), SpanConfig(max_broadcast_bytes=0))
+    assert counted[1].count() == 8
+
+
 def test_full_texts_are_not_shuffled(spans, capsys):
     spans.explain("formatted")
     shuffled = re.findall(r"\) Exchange\s*\nInput \[\d+\]: \[(.*)\]", capsys.readouterr().out)
