@@ -2,9 +2,15 @@
 
 A document is its set of word shingles. Sets are grouped into size bands, such that partners of a
 set lie in its own band or the next. In a band two linked sets differ in at most ``H`` tokens, so
-when the universe is hashed into ``m = H + 1`` segments, they agree in all of some segment
-(pigeonhole). Each set therefore gives one signature per segment for its own band, and one per
-segment for the band below, where it may be the larger partner.
+when the universe is hashed into ``m > H`` segments, they agree in all of some segment (pigeonhole).
+Each set therefore gives one signature per segment for its own band, and one per segment for the band
+below, where it may be the larger partner.
+
+Empty segments would make all sets that lack the same one meet. A set of ``n`` tokens differs from its
+partners in at most ``H(n) <= H`` tokens, so that any ``H(n) + 1`` of its segments are enough. Bands
+have a few segments more than ``H + 1``, and a set gives no signatures of its empty segments while
+enough others are left; only the few sets with more empty segments keep them. A pair is found if either
+set has enough, by a segment that is not empty, or else both keep all segments.
 
 1. Equal sets become one set.
 2. Signatures meet by value. Each set is first compared with one other only, its centre: the set that
@@ -18,9 +24,9 @@ segment for the band below, where it may be the larger partner.
    are taken first. Only pairs that meet on such a token are compared.
 4. All other pairs that share a signature are compared. Where a signature is shared by many sets, the
    allocation changes for the sets that have it: the costly segments are skipped, and as many of
-   their cheapest other segments are raised to one-deletion neighbourhoods, in which two sets must
-   differ twice to escape. The sum of what the segments tolerate stays above ``H``, so no link is
-   lost. Sets with too few cheap segments keep their costly ones.
+   their cheapest other segments of two tokens or more are raised to one-deletion neighbourhoods, in
+   which two sets must differ twice to escape. The sum of what the segments tolerate stays the same,
+   so no link is lost. Sets with too few such segments keep their costly ones.
 
 Comparisons are exact, on the sets made from the texts.
 """
@@ -103,6 +109,21 @@ def most_differing(s: int, t: int, percent: int) -> int:
     return s + t - 2 * common
 
 
+def spare_segments(needed: int, size: int) -> int:
+    """Segments for sets of ``size`` tokens, of which ``needed`` should hold some.
+
+    The fewest that leave three deviations above the mean number of empty ones, up to a quarter more.
+    """
+    choices = range(needed, needed + needed // 4 + 1)
+
+    def room(m: int) -> float:
+        empty = m * (1 - 1 / m) ** size
+        return m - needed - empty - 3 * empty**0.5
+
+    enough = [m for m in choices if room(m) >= -0.5]
+    return enough[0] if enough else max(choices, key=room)
+
+
 @cache
 def _bands(percent: int, largest: int) -> tuple[list[int], list[int]]:
     """Last sizes of the bands up to ``largest`` and the segments of each; sizes below can't link.
@@ -118,7 +139,7 @@ def _bands(percent: int, largest: int) -> tuple[list[int], list[int]]:
         partner = last * 100 // percent
         most = max(most_differing(last, t, percent) for t in range(last, partner + 1))
         lasts.append(last)
-        segments.append(most + 1)
+        segments.append(spare_segments(most + 1, last))
     return lasts, segments
 
 
@@ -129,6 +150,14 @@ def families(size: int, percent: int) -> list[tuple[int, int]]:
     return [(b, segments[b]) for b in (band, band - 1) if b > 0]
 
 
+@cache
+def needed_segments(size: int, band: int, percent: int) -> int:
+    """How many segments of a band make sure that a set shares one with every partner there."""
+    lasts, segments = _bands(percent, 1 << max(10, size.bit_length()))
+    largest = min(size * 100 // percent, lasts[band]) if size > lasts[band] else size * 100 // percent
+    return min((100 - percent) * (size + largest) // (100 + percent) + 1, segments[band])
+
+
 def segment_sums(tokens: np.ndarray, band: int, m: int) -> tuple[np.ndarray, np.ndarray]:
     """Each token's segment, and the sum of the mixed tokens of each segment."""
     mixed = _mix(tokens + np.uint64(band))
@@ -143,6 +172,12 @@ def _keys(sums: np.ndarray, band: int, segment: np.ndarray) -> tuple[np.ndarray,
     return _mix(sums ^ _mix(place.astype(np.uint64))).view(np.int64), place
 
 
+def given_segments(segment: np.ndarray, size: int, band: int, m: int, percent: int) -> np.ndarray:
+    """The segments that a set signs: those with tokens, and all where these are too few."""
+    filled = np.flatnonzero(np.bincount(segment, minlength=m))
+    return filled if len(filled) >= needed_segments(size, band, percent) else np.arange(m)
+
+
 def _binary(keys: list[bytes], counts=None) -> pa.Array:
     found = pa.array(keys, pa.binary())
     return found if counts is None else found.take(pa.array(np.repeat(np.arange(len(keys)), counts)))
@@ -179,10 +214,11 @@ def _sign(size: int, percent: int):
             owners, counts, keys, places = [], [], [], []
             for set_key, tokens in sets.items():
                 for band, m in families(len(tokens), percent):
-                    _, sums = segment_sums(tokens, band, m)
-                    key, place = _keys(sums, band, np.arange(m))
+                    segment, sums = segment_sums(tokens, band, m)
+                    given = given_segments(segment, len(tokens), band, m, percent)
+                    key, place = _keys(sums[given], band, given)
                     owners.append(set_key)
-                    counts.append(m)
+                    counts.append(len(given))
                     keys.append(key)
                     places.append(place)
             if keys:
@@ -303,18 +339,23 @@ def _delete_one(size: int, percent: int):
                 tokens = _unpacked(blob, size)
                 for band, m in families(len(tokens), percent):
                     segment, sums = segment_sums(tokens, band, m)
-                    less = sums[segment] - _mix(tokens + np.uint64(band))
-                    full_key, full_place = _keys(sums, band, np.arange(m))
-                    less_key, less_place = _keys(less, band, segment)
+                    held = np.bincount(segment, minlength=m)
+                    filled = np.flatnonzero(held)
+                    # No probe has an empty side: only segments of two tokens or more are raised.
+                    several = held[segment] > 1
+                    less = (sums[segment] - _mix(tokens + np.uint64(band)))[several]
+                    full_key, full_place = _keys(sums[filled], band, filled)
+                    less_key, less_place = _keys(less, band, segment[several])
                     n = len(full_key) + len(less_key)
                     yield pa.RecordBatch.from_arrays(
                         [
                             pa.array(np.concatenate([full_key, less_key])),
                             pa.array(np.concatenate([full_place, less_place])),
                             pa.array(np.arange(n) >= len(full_key)),
+                            pa.array(np.concatenate([held[filled], held[segment[several]]]) > 1),
                             _binary([set_key], [n]),
                         ],
-                        names=["key", "place", "deleted", "set_key"],
+                        names=["key", "place", "deleted", "several", "set_key"],
                     )
 
     return delete_one
@@ -339,41 +380,36 @@ def _hot_pairs(rest: DataFrame, blobs: DataFrame, size: int, percent: int, hot:
     ``rest`` has ``key, place, set_key, label, centre, members`` of shared signatures.
     """
     band = F.shiftright("place", _PLACE)
-    families_of = F.udf(lambda n: dict(families(n, percent)), "map<long,int>")  # a few rows per band
     rows = rest.withColumn("band", band).withColumn("is_hot", F.col("members") > hot)
-    counted = rows.filter("is_hot").groupBy("set_key", "band").agg(F.count("*").alias("n_hot"))
-    sizes = blobs.join(counted.select("set_key").distinct(), "set_key").mapInArrow(
-        lean(_sizes(size)), "set_key binary, n_shingles int"
-    )
-    segments = sizes.withColumn("families", families_of("n_shingles")).select(
-        "set_key", F.explode("families").alias("band", "m")
+    counted = cut_lineage(
+        rows.filter("is_hot").groupBy("set_key", "band").agg(F.count("*").alias("n_hot"))
     )
-    allocated = cut_lineage(
-        counted.join(segments, ["set_key", "band"]).withColumn(
-            "forced", 2 * F.col("n_hot") > F.col("m")
-        )
-    )
-    marked = rows.filter("is_hot").join(allocated, ["set_key", "band"])
-    forced = _cross(marked.filter("forced"), rows.filter("is_hot"))
-
     listed = cut_lineage(
-        blobs.join(allocated.select("set_key").distinct(), "set_key").mapInArrow(
-            lean(_delete_one(size, percent)), "key long, place long, deleted boolean, set_key binary"
+        blobs.join(counted.select("set_key").distinct(), "set_key").mapInArrow(
+            lean(_delete_one(size, percent)),
+            "key long, place long, deleted boolean, several boolean, set_key binary",
         )
     )
     costs = rows.select("set_key", "place", "members", "is_hot")
-    ranked = (
-        listed.filter(~F.col("deleted"))
+    cheapest = Window.partitionBy("set_key", "band").orderBy(
+        F.coalesce("members", F.lit(1)), "place"
+    )
+    ranked = cut_lineage(
+        listed.filter("several and not deleted")
         .withColumn("band", band)
-        .join(allocated.filter(~F.col("forced")), ["set_key", "band"])
+        .join(counted, ["set_key", "band"])
         .join(costs, ["set_key", "place"], "left")
         .filter(~F.coalesce("is_hot", F.lit(False)))
+        .withColumn("rank", F.row_number().over(cheapest))
+        .select("set_key", "band", "place", "n_hot", "rank")
     )
-    cheapest = Window.partitionBy("set_key", "band").orderBy(
-        F.coalesce("members", F.lit(1)), "place"
-    )
+    # A set is forced where fewer segments can be raised than it has hot ones.
+    able = ranked.filter("rank = n_hot").select("set_key", "band")
+    forced_sets = counted.join(able, ["set_key", "band"], "left_anti").select("set_key", "band")
+    hot_rows = rows.filter("is_hot")
+    forced = _cross(hot_rows.join(forced_sets, ["set_key", "band"]), hot_rows)
     raised = (
-        ranked.withColumn("rank", F.row_number().over(cheapest))
+        ranked.join(able, ["set_key", "band"])
         .filter(F.col("rank") <= F.col("n_hot"))
         .select("set_key", "place")
     )
@@ -386,17 +422,6 @@ def _hot_pairs(rest: DataFrame, blobs: DataFrame, size: int, percent: int, hot:
     return forced.union(near)
 
 
-def _sizes(size: int):
-    def sizes(batches):
-        for batch in batches:
-            counts = [len(_unpacked(b, size)) for b in batch["words"].to_pylist()]
-            yield pa.RecordBatch.from_arrays(
-                [batch["set_key"], pa.array(counts, pa.int32())], names=["set_key", "n_shingles"]
-            )
-
-    return sizes
-
-
 def describe_sets(docs: DataFrame, size: int = 3) -> DataFrame:
     """``doc_id``, the size and key of each document's set, and its compressed words; written."""
     return cut_lineage(docs.select("doc_id", "text").mapInArrow(lean(_describe(size)), SET_DDL))

@@ -155,8 +155,9 @@ def brute_components(rows, percent=90, size=3):
         yield r[0], len(sets[i]), min(ids) if ids else None
 
 
+@pytest.mark.parametrize("size, percent", [(3, 90), (5, 80)])
 @pytest.mark.parametrize("hot_members", [256, 1])
-def test_jaccard(spark, hot_members):
+def test_jaccard(spark, hot_members, size, percent):
     rng = random.Random(9)
     rows = documents()
     template = ["t%d" % i for i in range(80)]
@@ -164,10 +165,62 @@ def test_jaccard(spark, hot_members):
         words = template + ["own%d" % rng.randrange(10**6) for _ in range(6 + i % 7)]
         rows.append((i, " ".join(words), "en", "src0", None, None))
     got = rows_of(
-        jaccard_components(table(spark, rows), hot_members=hot_members),
+        jaccard_components(table(spark, rows), size, percent, hot_members),
         "doc_id", "n_shingles", "component_id",
     )
-    assert got == sorted(brute_components(rows), key=sort_key)
+    assert got == sorted(brute_components(rows, percent, size), key=sort_key)
+
+
+def near_the_threshold(rng, percent, first, last):
+    """Two sets of random tokens that differ as much as linked ones may."""
+    import numpy as np
+
+    n = rng.randrange(first, last)
+    t = rng.randrange(n, n * 100 // percent + 1)
+    most = most_differing(n, t, percent)
+    gone = (most - (t - n)) // 2
+    tokens = [rng.getrandbits(64) for _ in range(n + (t - n) + gone)]
+    pair = tokens[:n], tokens[gone:]
+    return [np.unique(np.array(x, np.uint64)) for x in pair]
+
+
+@pytest.mark.parametrize("percent", [80, 90])
+def test_linked_sets_share_a_given_segment(percent):
+    """Segments without tokens are left out, and linked sets still meet."""
+    from spanloom.llm.jaccard_join import given_segments, segment_sums
+
+    rng, left_out, kept = random.Random(2), 0, 0
+    for _ in range(3000):
+        found = []
+        for tokens in near_the_threshold(rng, percent, 10, 300):
+            keys = set()
+            for band, m in families(len(tokens), percent):
+                segment, sums = segment_sums(tokens, band, m)
+                given = given_segments(segment, len(tokens), band, m, percent)
+                empty = m - len(set(segment.tolist()))
+                left_out += len(given) < m
+                kept += empty > 0 and len(given) == m
+                keys |= {(band, int(i), int(sums[i])) for i in given}
+            found.append(keys)
+        assert found[0] & found[1]
+    assert percent == 90 or (left_out > 5000 and kept < 200)
+
+
+def test_candidates_grow_with_the_input():
+    """Unrelated sets do not meet on empty segments: pairs by them are few for their number."""
+    import numpy as np
+
+    from spanloom.llm.jaccard_join import given_segments, segment_sums
+
+    rng = np.random.default_rng(3)
+    seen = Counter()
+    for size in rng.integers(60, 400, 2000).tolist():
+        tokens = rng.integers(0, 2**63, size).astype(np.uint64)
+        for band, m in families(size, 80):
+            segment, sums = segment_sums(tokens, band, m)
+            given = given_segments(segment, size, band, m, 80)
+            seen.update((band, int(i), int(sums[i])) for i in given)
+    assert sum(n * (n - 1) // 2 for n in seen.values()) < 2000
 
 
 def test_jaccard_empty(spark):
