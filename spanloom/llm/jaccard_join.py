@@ -21,8 +21,12 @@ set has enough, by a segment that is not empty, or else both keep all segments.
    ``|x ^ c| > r (|x| + |c|)`` with ``r = (100 - percent) / (100 + percent)``. If it links to ``y``,
    their differences share more than ``(|y ^ c| + r (|c| - |y|)) / 2`` tokens, and so one of any
    ``|y ^ c|`` less that many tokens of ``y``'s difference, for which tokens that the centre lacks
-   are taken first. Only pairs that meet on such a token are compared.
-4. All other pairs that share a signature are compared. Where a signature is shared by many sets, the
+   are taken first. Only pairs that meet on such a token are compared. A set that differs from its
+   centre more than twice as much as a linked one may is its own centre from here on, so that no list
+   of differences is longer than that.
+4. All other pairs that share a signature meet. Rows carry parity bits of their sets, whose distance
+   is at most that of the sets, so that the join itself drops most pairs that share a passage only.
+   What is left is compared. Where a signature is shared by many sets, the
    allocation changes for the sets that have it: the costly segments are skipped, and as many of
    their cheapest other segments of two tokens or more are raised to one-deletion neighbourhoods, in
    which two sets must differ twice to escape. The sum of what the segments tolerate stays the same,
@@ -46,14 +50,17 @@ from spanloom.llm.components import component_labels
 from spanloom.llm.words import find_words, lean, pieces, text_bytes, word_hashes
 from spanloom.operators.lineage import cut_lineage
 
-HOT_MEMBERS = 256
+HOT_MEMBERS = 4096  # pairs of a signature are sifted in its join, so that this many are cheap
 _P1, _P2 = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F)
 _PLACE = 40  # bits of a segment number
 _CLASSES = 64  # of the sketch
+_PARITY = ["parity0", "parity1", "parity2", "parity3"]  # 64 bits each
 
-SET_DDL = "doc_id long, n_shingles long, set_key binary, words binary, sketch array<int>"
+SET_DDL = "doc_id long, n_shingles long, set_key binary, words binary, sketch array<int>, " + ", ".join(
+    f"{c} long" for c in _PARITY
+)
 SIGNATURE_DDL = "key long, place long, set_key binary"
-CENTRE_DDL = "a binary, b binary, linked boolean, difference array<long>, n_listed int"
+CENTRE_DDL = "a binary, b binary, linked boolean, far boolean, difference array<long>, n_listed int"
 
 
 def _mix(x: np.ndarray) -> np.ndarray:
@@ -100,6 +107,12 @@ def _sketch(tokens: np.ndarray) -> np.ndarray:
     return np.bincount((tokens % np.uint64(_CLASSES)).astype(np.int64), minlength=_CLASSES)
 
 
+def _parities(tokens: np.ndarray) -> np.ndarray:
+    """Of each of 256 classes whether its tokens are odd in number: a token flips one bit."""
+    classes = np.bincount((tokens >> np.uint64(24) & np.uint64(255)).astype(np.int64), minlength=256)
+    return np.packbits((classes & 1).astype(np.uint8)).view(np.int64)
+
+
 def most_differing(s: int, t: int, percent: int) -> int:
     """How many tokens linked sets of these sizes differ in at most.
 
@@ -193,6 +206,7 @@ def _describe(size: int):
                 squeeze.compress(data[start:end].tobytes())
                 for start, end in zip(offsets[:-1], offsets[1:])
             ]
+            parities = np.array([_parities(s) for s in sets], np.int64).reshape(-1, len(_PARITY))
             yield pa.RecordBatch.from_arrays(
                 [
                     part["doc_id"],
@@ -200,8 +214,9 @@ def _describe(size: int):
                     pa.array([_set_key(s) for s in sets], pa.binary()),
                     pa.array(words, pa.binary()),
                     pa.array([_sketch(s) for s in sets], pa.list_(pa.int32())),
+                    *(pa.array(column) for column in parities.T.copy()),
                 ],
-                names=["doc_id", "n_shingles", "set_key", "words", "sketch"],
+                names=["doc_id", "n_shingles", "set_key", "words", "sketch", *_PARITY],
             )
 
     return describe
@@ -269,12 +284,17 @@ def _compare_centre(size: int, percent: int):
 
     def compare(batches):
         for pairs, sets in _compared(batches, size):
-            linked, differences, listed = [], [], []
+            linked, far, differences, listed = [], [], [], []
             for centre, own in sets:
                 added = np.setdiff1d(own, centre, assume_unique=True)
                 gone = np.setdiff1d(centre, own, assume_unique=True)
                 linked.append(_linked(centre, own, percent))
                 n = len(added) + len(gone)
+                far.append(n * (100 + percent) > 2 * (100 - percent) * (len(own) + len(centre)))
+                if far[-1]:
+                    listed.append(0)
+                    differences.append(gone[:0].view(np.int64))
+                    continue
                 # floor((n + r (|c| - |y|)) / 2), and more tokens than that are shared
                 slack = n * (100 + percent) + (100 - percent) * (len(centre) - len(own))
                 listed.append(n - slack // (2 * (100 + percent)))
@@ -283,10 +303,11 @@ def _compare_centre(size: int, percent: int):
                 [
                     *pairs.columns,
                     pa.array(linked, pa.bool_()),
+                    pa.array(far, pa.bool_()),
                     pa.array(differences, pa.list_(pa.int64())),
                     pa.array(listed, pa.int32()),
                 ],
-                names=["a", "b", "linked", "difference", "n_listed"],
+                names=["a", "b", "linked", "far", "difference", "n_listed"],
             )
 
     return compare
@@ -322,8 +343,9 @@ def verify(pairs: DataFrame, blobs: DataFrame, size: int, percent: int) -> DataF
 
 def _centre_pairs(centred: DataFrame) -> DataFrame:
     """Pairs of sets with one centre, one of which does not link to it, that meet on a token."""
-    loose = centred.filter(~F.col("linked"))
-    concerned = centred.join(loose.select("a").distinct(), "a", "left_semi")
+    near = centred.filter(~F.col("far"))
+    loose = near.filter(~F.col("linked"))
+    concerned = near.join(loose.select("a").distinct(), "a", "left_semi")
     probes = loose.select("a", F.col("b").alias("x"), F.explode("difference").alias("token"))
     listed = concerned.select(
         "a", F.col("b").alias("y"), F.explode(F.slice("difference", 1, "n_listed")).alias("token")
@@ -361,16 +383,24 @@ def _delete_one(size: int, percent: int):
     return delete_one
 
 
-def _cross(left: DataFrame, right: DataFrame) -> DataFrame:
-    """Pairs of sets that share a key, with different labels and centres."""
+def _cross(left: DataFrame, right: DataFrame, percent: int) -> DataFrame:
+    """Pairs of sets that share a key, with different labels and centres and parities not too far.
+
+    Linked sets differ in at most ``(100 - percent) / (100 + percent)`` of the sum of their sizes.
+    """
+    carried = ("label", "centre", "n_tokens", *_PARITY)
 
     def sides(rows: DataFrame, name: str) -> DataFrame:
-        return rows.select("key", *(F.col(c).alias(f"{name}_{c}") for c in ("label", "centre")),
-                           F.col("set_key").alias(name))
+        return rows.select(
+            "key", F.col("set_key").alias(name), *(F.col(c).alias(f"{name}_{c}") for c in carried)
+        )
 
     a, b = sides(left, "x"), sides(right, "y")
     apart = (F.col("x_label") != F.col("y_label")) & (F.col("x_centre") != F.col("y_centre"))
-    met = a.join(b, (a["key"] == b["key"]) & apart)
+    flipped = sum(F.bit_count(F.col(f"x_{c}").bitwiseXOR(F.col(f"y_{c}"))) for c in _PARITY)
+    sizes = F.col("x_n_tokens") + F.col("y_n_tokens")
+    likely = flipped * (100 + percent) <= sizes * (100 - percent)
+    met = a.join(b, (a["key"] == b["key"]) & apart & likely)
     return met.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct()
 
 
@@ -407,17 +437,17 @@ def _hot_pairs(rest: DataFrame, blobs: DataFrame, size: int, percent: int, hot:
     able = ranked.filter("rank = n_hot").select("set_key", "band")
     forced_sets = counted.join(able, ["set_key", "band"], "left_anti").select("set_key", "band")
     hot_rows = rows.filter("is_hot")
-    forced = _cross(hot_rows.join(forced_sets, ["set_key", "band"]), hot_rows)
+    forced = _cross(hot_rows.join(forced_sets, ["set_key", "band"]), hot_rows, percent)
     raised = (
         ranked.join(able, ["set_key", "band"])
         .filter(F.col("rank") <= F.col("n_hot"))
         .select("set_key", "place")
     )
-    labels = rows.select("set_key", "label", "centre").distinct()
+    labels = rows.select("set_key", "label", "centre", "n_tokens", *_PARITY).distinct()
     probes = listed.join(raised, ["set_key", "place"]).join(labels, "set_key")
     held = listed.join(labels, "set_key")
-    near = _cross(probes.filter("deleted"), held.filter(~F.col("deleted"))).union(
-        _cross(probes.filter(~F.col("deleted")), held.filter("deleted"))
+    near = _cross(probes.filter("deleted"), held.filter(~F.col("deleted")), percent).union(
+        _cross(probes.filter(~F.col("deleted")), held.filter("deleted"), percent)
     )
     return forced.union(near)
 
@@ -452,10 +482,13 @@ def set_links(
     needed = cut_lineage(shared.groupBy("set_key").agg(F.count("*").alias("n_shared")))
     # The wanted keys grow with the input, so both sides are shuffled at any size.
     blobs = cut_lineage(
-        described.select("set_key", "words", "sketch")
+        described.select("set_key", "words", "sketch", "n_shingles", *_PARITY)
         .join(needed.hint("merge"), "set_key", "left_semi")
         .groupBy("set_key")
-        .agg(F.first("words").alias("words"), F.first("sketch").alias("sketch"))
+        .agg(
+            F.first("n_shingles").alias("n_tokens"),
+            *(F.first(c).alias(c) for c in ("words", "sketch", *_PARITY)),
+        )
     )
     leading = F.max_by("set_key", F.struct("n_shared", "set_key")).over(group)
     led = shared.join(needed, "set_key").withColumn("centre", leading)
@@ -474,7 +507,14 @@ def set_links(
     links = centred.filter("linked").select("a", "b")
 
     labels = component_labels(links).withColumnRenamed("node", "set_key")
-    labelled = shared.join(centres, "set_key").join(labels, "set_key", "left").withColumn(
+    far = centred.filter("far").select(F.col("b").alias("set_key"), F.lit(True).alias("far"))
+    placed = cut_lineage(
+        centres.join(far, "set_key", "left")
+        .withColumn("centre", F.when(F.col("far"), F.col("set_key")).otherwise(F.col("centre")))
+        .drop("far")
+        .join(blobs.select("set_key", "n_tokens", *_PARITY), "set_key")
+    )
+    labelled = shared.join(placed, "set_key").join(labels, "set_key", "left").withColumn(
         "label", F.coalesce("label", "set_key")
     )
     rest = cut_lineage(
@@ -485,7 +525,7 @@ def set_links(
         .drop("least", "most")
     )
     cold = rest.filter(F.col("members") <= hot_members)
-    pairs = _cross(cold, cold)
+    pairs = _cross(cold, cold, percent)
     if not rest.filter(F.col("members") > hot_members).isEmpty():
         pairs = pairs.union(_hot_pairs(rest, blobs, size, percent, hot_members))
     apart = pairs.union(_centre_pairs(centred)).distinct()
@@ -507,7 +547,7 @@ def jaccard_components(
     chosen = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string"))
     described = describe_sets(chosen, size)
     labels = component_labels(set_links(chosen, described, size, percent, hot_members))
-    described = described.drop("words", "sketch")
+    described = described.select("doc_id", "n_shingles", "set_key")
     named = described.filter(F.col("n_shingles") > 0).join(
         labels, F.col("set_key") == F.col("node"), "left"
     )
