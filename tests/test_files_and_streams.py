@@ -114,3 +114,15 @@ def test_streamed_documents(spark, tmp_path):
     write_spans(otlp_batches(spans, 2, CONFIG), f"{sink}/batch_id=0", "otlp_json", "overwrite")
     again = [r.value for r in spark.read.text(f"{sink}/batch_id=0").collect()]
     assert sum(json.loads(x)["resourceSpans"][0]["scopeSpans"][0]["spans"].__len__() for x in again) == len(sent)
+
+
+def test_documents_are_compressed(spark, tmp_path):
+    spans = spans_from_nested(nested(spark, [1, 2]), CONFIG)
+    batches = otlp_batches(spans, 4, CONFIG)
+    write_spans(batches, str(tmp_path / "otlp"), "otlp_json", "overwrite")
+    files = list((tmp_path / "otlp").glob("part-*"))
+    assert files and all(f.read_bytes()[:2] == b"\x1f\x8b" for f in files)
+    read = spark.read.text(str(tmp_path / "otlp"))
+    assert sorted(r.value for r in read.collect()) == sorted(
+        r.document for r in batches.collect()
+    )
