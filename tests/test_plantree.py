@@ -245,3 +245,14 @@ def test_a_row_takes_time_in_proportion_to_its_nodes(spark):
         names = [f"t{i % 50}" for i in range(size - 1, -1, -1)]
         assert {tuple(r.plan_tables) for r in rows} == {tuple(names[:12])}
     assert took[16_000] < 8 * took[4_000]
+
+
+def test_query_tables_climb_once_and_agree(nodes, monkeypatch):
+    some = nodes.filter("query_id <= 8")
+    wanted = Counter(map(repr, query_tables(some).collect()))
+    climb, climbs = largetrees._climb, []
+    monkeypatch.setattr(
+        largetrees, "_climb", lambda *a, **more: climbs.append(a[2]) or climb(*a, **more)
+    )
+    assert Counter(map(repr, query_tables(some, SPLIT).collect())) == wanted
+    assert climbs == [[]]
