@@ -1,6 +1,15 @@
 import pytest
 
-from spanloom import SpanConfig, build_spans, spans_from_nested
+from spanloom import (
+    SpanConfig,
+    attach_trace_context,
+    build_spans,
+    plan_spans,
+    resolve_relations,
+    spans_from_nested,
+    walk_plans,
+)
+from spanloom.operators import joins
 from spanloom.schemas import SPANS
 from tests.data import TRACEPARENT, catalog, executions, plan_nodes
 
@@ -139,3 +148,17 @@ def test_all_routes_agree(spark):
         assert len(span.name.encode()) <= 64
         if span.level == "plan":
             assert ids[span.query_id, span.parent_span_id].emit_order > span.emit_order
+
+
+def test_walk_is_not_run_to_look_for_large_queries(spark, monkeypatch):
+    runs, nodes, *names = inputs(spark, [{}], tree(1, 5))
+    walked = walk_plans(resolve_relations(nodes, *names))
+    executed, config = attach_trace_context(runs), SpanConfig(max_broadcast_bytes=0)
+    hot_keys, looked = joins.hot_keys, []
+    monkeypatch.setattr(
+        joins, "hot_keys", lambda large, *a: looked.append(large) or hot_keys(large, *a)
+    )
+    wanted = plan_spans(walked, executed, config).collect()
+    got = plan_spans(walked, executed, config, counted=nodes).collect()
+    assert looked == [walked, nodes]
+    assert len(got) == 4 and sorted(got, key=repr) == sorted(wanted, key=repr)
