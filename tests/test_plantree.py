@@ -127,6 +127,54 @@ def subtree_rows(df):
     return got
 
 
+@pytest.fixture(scope="module")
+def raked(nodes):
+    """Placed with the leaves of these few nodes taken off, which larger inputs have done."""
+    with pytest.MonkeyPatch.context() as patch:
+        patch.setattr(largetrees, "RAKED_LEAVES", 1)
+        patch.setattr(largetrees, "RAKED_SHARE", 0.05)
+        return largetrees.place(nodes, with_paths=True)
+
+
+def test_leaves_are_taken_off_before_pointers_move(nodes, placed, raked):
+    wanted = placed.nodes
+    assert sorted(raked.nodes.select(wanted.columns).collect(), key=repr) == sorted(
+        wanted.collect(), key=repr
+    )
+    # What moves is what is left: the two chains, the circle and little else.
+    assert len(raked.levels) >= 4 and raked.left
+    assert raked.moved[0] < placed.moved[0] / 2
+
+
+def test_trees_are_taken_off_whole(spark, nodes, monkeypatch):
+    monkeypatch.setattr(largetrees, "RAKED_LEAVES", 1)
+    monkeypatch.setattr(largetrees, "RAKED_SHARE", 0.0)
+    some = nodes.filter("query_id <= 9")
+    placed = largetrees.place(some, with_paths=True)
+    assert not placed.left and not placed.moved and not placed.jumps
+    wanted = {k: v[:3] for k, v in expected(forest()).items() if k[0] <= 9}
+    tables = largetrees.tables_by_subtree(placed, F.col("table_name"))
+    assert subtree_rows(placed.nodes.join(tables, largetrees.NODE_KEY, "left")) == wanted
+    empty = largetrees.place(nodes.filter("query_id < 0"))
+    assert empty.nodes.count() == 0
+
+
+def test_tables_of_raked_trees(nodes, raked):
+    wanted = {k: v[:3] for k, v in expected(forest()).items()}
+    tables = largetrees.tables_by_subtree(raked, F.col("table_name"))
+    assert subtree_rows(raked.nodes.join(tables, largetrees.NODE_KEY, "left")) == wanted
+    check_visible(plantree.walk_large(nodes, raked))
+
+
+def test_a_level_is_written_once_and_found_in_place(raked):
+    parents = raked.levels[1].select(*largetrees.NODE_KEY, "up_round")
+    joined = raked.levels[1].select(*largetrees.NODE_KEY, "position").hint("merge").join(
+        parents, largetrees.NODE_KEY
+    )
+    plan = joined._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" not in plan and plan.count("Bucketed: true") == 2
+
+
 def test_subtree_tables_in_rows(nodes):
     wanted = {k: v[:3] for k, v in expected(forest()).items()}
     assert subtree_rows(subtree_tables(nodes)) == wanted
