@@ -19,6 +19,7 @@ from spanloom import (
 )
 from spanloom.operators import largetrees, plantree
 from spanloom.schemas import SPAN_NODE
+from spanloom.sources import derived
 from tests.data import executions, plan_nodes
 
 SPLIT = SpanConfig(max_tree_nodes=50)
@@ -304,3 +305,29 @@ def test_query_tables_climb_once_and_agree(nodes, monkeypatch):
     )
     assert Counter(map(repr, query_tables(some, SPLIT).collect())) == wanted
     assert climbs == [[]]
+
+
+def test_deep_nodes_are_numbered_by_ranges_as_by_a_sort(spark, tmp_path, monkeypatch):
+    key = F.col("id")
+    rows = spark.range(600).select(
+        F.when(key % 97 > 0, key).cast("long").alias("l_orderkey"),
+        (key % 7 + 1).cast("long").alias("l_linenumber"),
+        F.when(key % 89 > 0, key * 31 % 20).cast("long").alias("l_partkey"),
+        (key % 13).cast("long").alias("l_suppkey"),
+        *(
+            F.col("id").cast("double").alias(f"l_{c}")
+            for c in ("quantity", "extendedprice", "discount", "tax")
+        ),
+        F.when(key % 3 == 0, "R").otherwise("A").alias("l_returnflag"),
+        F.lit("O").alias("l_linestatus"),
+        F.lit("1995-01-01").cast("date").alias("l_shipdate"),
+    )
+    rows.union(rows.filter("id % 10 = 0")).write.parquet(f"{tmp_path}/lineitem.parquet")
+    wanted = sorted(derived.DeepCapture(spark, str(tmp_path)).plan_nodes.collect(), key=repr)
+    monkeypatch.setattr(derived, "SORTED_NODES", 25)
+    ranged = derived.DeepCapture(spark, str(tmp_path)).plan_nodes
+    assert sorted(ranged.collect(), key=repr) == wanted
+    written = [f for f in ranged.inputFiles() if "spanloom-" in f]
+    assert written  # the rows of large queries were sorted apart
+    counts = Counter(r.query_id for r in wanted)
+    assert max(counts.values()) > 25 > min(counts.values()) and None in counts
