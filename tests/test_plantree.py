@@ -167,6 +167,14 @@ def test_tables_of_raked_trees(nodes, raked):
     check_visible(plantree.walk_large(nodes, raked))
 
 
+def test_no_leaves_are_taken_off_where_keys_repeat(nodes, monkeypatch):
+    monkeypatch.setattr(largetrees, "RAKED_LEAVES", 1)
+    one = nodes.filter("query_id = 3")
+    again = largetrees.place(one.unionByName(one.limit(1)))
+    assert len(again.levels) == 1 and again.left and again.moved
+    assert len(largetrees.place(one).levels) > 1
+
+
 def test_a_level_is_written_once_and_found_in_place(raked):
     parents = raked.levels[1].select(*largetrees.NODE_KEY, "up_round")
     joined = raked.levels[1].select(*largetrees.NODE_KEY, "position").hint("merge").join(
