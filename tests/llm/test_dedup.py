@@ -136,6 +136,32 @@ def test_merged_transforms(monkeypatch, length, shard_bytes):
                 assert value == min(d for t, d in zip(strings, ids) if s[i : i + length] in t)
 
 
+def test_runs_look_up_an_anchor_once(monkeypatch):
+    import numpy as np
+
+    from spanloom.llm import anchors
+    from spanloom.llm.suffix_dedup import byte_scheme
+
+    rng = random.Random(3)
+    data = np.frombuffer(bytes(rng.choices(b"abcd", k=4000)), np.uint8)
+    scheme = byte_scheme()
+    windows = anchors.Windows(scheme, *scheme.symbols(data, np.array([0, 1500, 1520, 4000])))
+    wanted = np.unique(windows.anchors)[::2]
+    looked_up, search = [], np.searchsorted
+
+    def counting(sorted_values, values, *rest, **more):
+        looked_up.append(len(values))
+        return search(sorted_values, values, *rest, **more)
+
+    monkeypatch.setattr(anchors.np, "searchsorted", counting)
+    begin, end = windows.runs(wanted)
+    assert sum(looked_up) < len(windows.anchors) / 4
+    covered = [i for a, b in zip(begin, end) for i in range(a, b)]
+    assert covered == [i for i, x in enumerate(windows.anchors.tolist()) if x in set(wanted.tolist())]
+    for a, b in zip(begin, end):
+        assert len({*windows.anchors[a:b].tolist()}) == 1 and len({*windows.texts[a:b].tolist()}) == 1
+
+
 def brute_components(rows, percent=90, size=3):
     sets = []
     for r in rows:
