@@ -26,7 +26,8 @@ set has enough, by a segment that is not empty, or else both keep all segments.
    of differences is longer than that.
 4. All other pairs that share a signature meet. Rows carry parity bits of their sets, whose distance
    is at most that of the sets, so that the join itself drops most pairs that share a passage only.
-   What is left is compared. Where a signature is shared by many sets, the
+   Bits grow with the size of a band's sets, as sets far apart flip half of too few. Signatures with
+   the same sets count once there. What is left is compared. Where a signature is shared by many sets, the
    allocation changes for the sets that have it: the costly segments are skipped, and as many of
    their cheapest other segments of two tokens or more are raised to one-deletion neighbourhoods, in
    which two sets must differ twice to escape. The sum of what the segments tolerate stays the same,
@@ -54,12 +55,14 @@ HOT_MEMBERS = 4096  # pairs of a signature are sifted in its join, so that this
 _P1, _P2 = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F)
 _PLACE = 40  # bits of a segment number
 _CLASSES = 64  # of the sketch
-_PARITY = ["parity0", "parity1", "parity2", "parity3"]  # 64 bits each
+_PARITY = ["parity0", "parity1", "parity2", "parity3"]  # 64 bits each, for signatures of many sets
+PARITY_BITS = 4096  # at most, for others
 
 SET_DDL = "doc_id long, n_shingles long, set_key binary, words binary, sketch array<int>, " + ", ".join(
     f"{c} long" for c in _PARITY
 )
 SIGNATURE_DDL = "key long, place long, set_key binary"
+PARITY_DDL = "set_key binary, band long, parity array<long>"
 CENTRE_DDL = "a binary, b binary, linked boolean, far boolean, difference array<long>, n_listed int"
 
 
@@ -107,9 +110,10 @@ def _sketch(tokens: np.ndarray) -> np.ndarray:
     return np.bincount((tokens % np.uint64(_CLASSES)).astype(np.int64), minlength=_CLASSES)
 
 
-def _parities(tokens: np.ndarray) -> np.ndarray:
-    """Of each of 256 classes whether its tokens are odd in number: a token flips one bit."""
-    classes = np.bincount((tokens >> np.uint64(24) & np.uint64(255)).astype(np.int64), minlength=256)
+def _parities(tokens: np.ndarray, bits: int = 256) -> np.ndarray:
+    """Of each of ``bits`` classes whether its tokens are odd in number: a token flips one bit."""
+    classes = (tokens >> np.uint64(24) & np.uint64(bits - 1)).astype(np.int64)
+    classes = np.bincount(classes, minlength=bits)
     return np.packbits((classes & 1).astype(np.uint8)).view(np.int64)
 
 
@@ -171,6 +175,17 @@ def needed_segments(size: int, band: int, percent: int) -> int:
     return min((100 - percent) * (size + largest) // (100 + percent) + 1, segments[band])
 
 
+def parity_bits(band: int, percent: int) -> int:
+    """Bits of a band's parities: a power of two, up to ``PARITY_BITS``.
+
+    Thrice what linked sets of the band differ in, so that sets far apart flip more bits than that.
+    """
+    lasts, _ = _bands(percent, PARITY_BITS)
+    largest = lasts[min(band, len(lasts) - 1)]
+    wanted = 6 * largest * (100 - percent) // (100 + percent)
+    return min(PARITY_BITS, max(64, 1 << wanted.bit_length()))
+
+
 def segment_sums(tokens: np.ndarray, band: int, m: int) -> tuple[np.ndarray, np.ndarray]:
     """Each token's segment, and the sum of the mixed tokens of each segment."""
     mixed = _mix(tokens + np.uint64(band))
@@ -383,12 +398,37 @@ def _delete_one(size: int, percent: int):
     return delete_one
 
 
-def _cross(left: DataFrame, right: DataFrame, percent: int) -> DataFrame:
+def _band_parities(size: int, percent: int):
+    """The parity bits of a set for its own band and for the band below."""
+
+    def parities(batches):
+        for batch in batches:
+            keys, bands, found = [], [], []
+            for set_key, blob in zip(batch["set_key"].to_pylist(), batch["words"].to_pylist()):
+                tokens = _unpacked(blob, size)
+                for band, _ in families(len(tokens), percent):
+                    keys.append(set_key)
+                    bands.append(band)
+                    found.append(_parities(tokens, parity_bits(band, percent)))
+            yield pa.RecordBatch.from_arrays(
+                [
+                    pa.array(keys, pa.binary()),
+                    pa.array(bands, pa.int64()),
+                    pa.array(found, pa.list_(pa.int64())),
+                ],
+                names=["set_key", "band", "parity"],
+            )
+
+    return parities
+
+
+def _cross(left: DataFrame, right: DataFrame, percent: int, ordered: bool = False) -> DataFrame:
     """Pairs of sets that share a key, with different labels and centres and parities not too far.
 
     Linked sets differ in at most ``(100 - percent) / (100 + percent)`` of the sum of their sizes.
+    ``ordered``: both sides have the same rows, so that one order of a pair is enough.
     """
-    carried = ("label", "centre", "n_tokens", *_PARITY)
+    carried = ("label", "centre", "n_tokens", "parity")
 
     def sides(rows: DataFrame, name: str) -> DataFrame:
         return rows.select(
@@ -397,7 +437,10 @@ def _cross(left: DataFrame, right: DataFrame, percent: int) -> DataFrame:
 
     a, b = sides(left, "x"), sides(right, "y")
     apart = (F.col("x_label") != F.col("y_label")) & (F.col("x_centre") != F.col("y_centre"))
-    flipped = sum(F.bit_count(F.col(f"x_{c}").bitwiseXOR(F.col(f"y_{c}"))) for c in _PARITY)
+    if ordered:
+        apart = (F.col("x") < F.col("y")) & apart
+    bits = F.zip_with("x_parity", "y_parity", lambda p, q: F.bit_count(p.bitwiseXOR(q)))
+    flipped = F.aggregate(bits, F.lit(0), lambda n, p: n + p)
     sizes = F.col("x_n_tokens") + F.col("y_n_tokens")
     likely = flipped * (100 + percent) <= sizes * (100 - percent)
     met = a.join(b, (a["key"] == b["key"]) & apart & likely)
@@ -436,14 +479,15 @@ def _hot_pairs(rest: DataFrame, blobs: DataFrame, size: int, percent: int, hot:
     # A set is forced where fewer segments can be raised than it has hot ones.
     able = ranked.filter("rank = n_hot").select("set_key", "band")
     forced_sets = counted.join(able, ["set_key", "band"], "left_anti").select("set_key", "band")
-    hot_rows = rows.filter("is_hot")
+    narrow = blobs.select("set_key", F.array(*_PARITY).alias("parity"))
+    hot_rows = rows.filter("is_hot").join(narrow, "set_key")
     forced = _cross(hot_rows.join(forced_sets, ["set_key", "band"]), hot_rows, percent)
     raised = (
         ranked.join(able, ["set_key", "band"])
         .filter(F.col("rank") <= F.col("n_hot"))
         .select("set_key", "place")
     )
-    labels = rows.select("set_key", "label", "centre", "n_tokens", *_PARITY).distinct()
+    labels = rows.select("set_key", "label", "centre", "n_tokens").distinct().join(narrow, "set_key")
     probes = listed.join(raised, ["set_key", "place"]).join(labels, "set_key")
     held = listed.join(labels, "set_key")
     near = _cross(probes.filter("deleted"), held.filter(~F.col("deleted")), percent).union(
@@ -512,7 +556,7 @@ def set_links(
         centres.join(far, "set_key", "left")
         .withColumn("centre", F.when(F.col("far"), F.col("set_key")).otherwise(F.col("centre")))
         .drop("far")
-        .join(blobs.select("set_key", "n_tokens", *_PARITY), "set_key")
+        .join(blobs.select("set_key", "n_tokens"), "set_key")
     )
     labelled = shared.join(placed, "set_key").join(labels, "set_key", "left").withColumn(
         "label", F.coalesce("label", "set_key")
@@ -521,11 +565,27 @@ def set_links(
         labelled.withColumn("least", F.min(F.struct("label", "centre")).over(group))
         .withColumn("most", F.max(F.struct("label", "centre")).over(group))
         .withColumn("members", F.count(F.lit(1)).over(group))
+        .withColumn("all1", F.bit_xor(F.xxhash64("set_key")).over(group))
+        .withColumn("all2", F.bit_xor(F.xxhash64(F.lit(1), "set_key")).over(group))
         .filter(F.col("least.label") != F.col("most.label"))
         .drop("least", "most")
     )
     cold = rest.filter(F.col("members") <= hot_members)
-    pairs = _cross(cold, cold, percent)
+    # Made from the words of these sets only, and carried no further than through their join.
+    parities = cut_lineage(
+        blobs.join(cold.select("set_key").distinct().hint("merge"), "set_key", "left_semi")
+        .select("set_key", "words")
+        .mapInArrow(lean(_band_parities(size, percent)), PARITY_DDL)
+    )
+    # All sets of signatures with the same sets choose the same one of them.
+    cold = (
+        cold.withColumn("band", F.shiftright("place", _PLACE))
+        .repartition("set_key", "band")
+        .groupBy("set_key", "band", "members", "all1", "all2")
+        .agg(F.min("key").alias("key"), *(F.first(c).alias(c) for c in ("label", "centre", "n_tokens")))
+        .join(parities, ["set_key", "band"])
+    )
+    pairs = _cross(cold, cold, percent, ordered=True)
     if not rest.filter(F.col("members") > hot_members).isEmpty():
         pairs = pairs.union(_hot_pairs(rest, blobs, size, percent, hot_members))
     apart = pairs.union(_centre_pairs(centred)).distinct()

@@ -232,6 +232,39 @@ def test_linked_sets_share_a_given_segment(percent):
     assert percent == 90 or (left_out > 5000 and kept < 200)
 
 
+@pytest.mark.parametrize("percent", [80, 90])
+def test_parities_part_only_sets_that_differ(percent):
+    from spanloom.llm.jaccard_join import _parities, parity_bits
+
+    rng = random.Random(4)
+    for _ in range(300):
+        x, y = near_the_threshold(rng, percent, 10, 6000)
+        band = min(families(len(t), percent)[0][0] for t in (x, y))
+        px, py = (_parities(t, parity_bits(band, percent)) for t in (x, y))
+        flipped = sum(int(v & (2**64 - 1)).bit_count() for v in (px ^ py).tolist())
+        assert flipped * (100 + percent) <= (len(x) + len(y)) * (100 - percent)
+
+
+def test_sets_that_share_a_passage_do_not_become_pairs(spark, monkeypatch):
+    from spanloom.llm import jaccard_join
+
+    rng, opened, verify = random.Random(6), [], jaccard_join.verify
+
+    def counting(pairs, *rest):
+        opened.append(pairs.count())
+        return verify(pairs, *rest)
+
+    monkeypatch.setattr(jaccard_join, "verify", counting)
+    passage = ["p%d" % rng.randrange(10**6) for _ in range(1100)]
+    rows = []
+    for i in range(10):
+        own = ["w%d" % rng.randrange(10**6) for _ in range(500)]
+        rows.append((i, " ".join(passage + own), "en", "src0", None, None))
+    got = jaccard_components(table(spark, rows), 5, 80).select("doc_id", "component_id").collect()
+    assert sorted(map(tuple, got)) == [(i, i) for i in range(10)]
+    assert opened == [0]
+
+
 def test_candidates_grow_with_the_input():
     """Unrelated sets do not meet on empty segments: pairs by them are few for their number."""
     import numpy as np
