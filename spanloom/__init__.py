@@ -14,7 +14,7 @@ from spanloom.operators.plantree import (
 from spanloom.operators.slow import slow_executions
 from spanloom.operators.spans import plan_spans, query_spans
 from spanloom.plans.build import build_spans, spans_from_nested, spans_from_nodes
-from spanloom.sinks.files import read_documents, read_spans, write_spans
+from spanloom.sinks.files import few_dates, read_documents, read_spans, write_spans
 from spanloom.sources.intake import nest_plans, read_executions, read_plan_nodes
 from spanloom.sources.landing import read_landed_executions, read_landed_plan_nodes
 from spanloom.streaming.compaction import compact_spans, read_compacted
@@ -25,6 +25,7 @@ __all__ = [
     "attach_trace_context",
     "build_spans",
     "compact_spans",
+    "few_dates",
     "nest_plans",
     "otlp_batches",
     "plan_spans",

@@ -1,9 +1,11 @@
 import json
+from collections import Counter
 
 import pytest
 
 from spanloom import (
     SpanConfig,
+    few_dates,
     nest_plans,
     otlp_batches,
     read_executions,
@@ -14,6 +16,7 @@ from spanloom import (
     write_spans,
 )
 from spanloom.schemas import SPAN_NODE_FIELDS, SPANS
+from spanloom.sinks.files import FEW_DATES
 from tests.data import catalog, executions, plan_nodes
 from tests.test_spans import tree
 
@@ -126,3 +129,29 @@ def test_documents_are_compressed(spark, tmp_path):
     assert sorted(r.value for r in read.collect()) == sorted(
         r.document for r in batches.collect()
     )
+
+
+def days(spark, path):
+    """Number of files by date."""
+    files = spark.read.schema(SPANS).parquet(path).inputFiles()
+    return Counter(f.split("span_date=")[1].split("/")[0] for f in files)
+
+
+def test_spans_are_written_where_they_arise(spark, tmp_path):
+    apart = spans_from_nested(nested(spark, range(1, 4)), CONFIG).repartition(8)
+    write_spans(apart, str(tmp_path / "dealt"))
+    write_spans(apart, str(tmp_path / "apart"), rebalance=False)
+    dates = ["1970-01-02", "1970-01-03", "1970-01-04"]
+    assert days(spark, str(tmp_path / "dealt")) == dict.fromkeys(dates, 1)
+    assert sum(days(spark, str(tmp_path / "apart")).values()) > len(dates)
+    for name in ("dealt", "apart"):
+        assert read_spans(spark, str(tmp_path / name)) == rows(apart)
+
+
+def test_few_dates(spark):
+    runs = [{"query_id": d, "finished_unix_nano": d * DAY} for d in range(1, FEW_DATES + 1)]
+    odd = [{"finished_unix_nano": -(2**63), "total_ns": 2**63 - 1}]
+    assert few_dates(executions(spark, *runs), "day")
+    assert not few_dates(executions(spark, *runs, *odd), "day")
+    assert few_dates(executions(spark, *runs, *odd), "year")
+    assert few_dates(executions(spark, *runs).limit(0))
