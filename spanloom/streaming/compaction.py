@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from functools import reduce
+from math import ceil
+
+from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 
 from spanloom.schemas import SPANS
@@ -12,6 +15,11 @@ from spanloom.sinks.runs import commits, folder_names, remove
 _RUN = "batches-"
 _FOLDER = "batch_id="
 
+# Rows that one task merges into a file by date.
+TASK_ROWS = 400_000
+# Scans that one job unites; longer compactions put more dates into each.
+MAX_SCANS = 200
+
 
 def compacted_through(spark: SparkSession, table_path: str) -> int:
     """The highest batch that has been compacted, -1 before the first one."""
@@ -26,12 +34,53 @@ def _batches(spark: SparkSession, sink_path: str) -> list[int]:
     return sorted(int(n.removeprefix(_FOLDER)) for n in names if n.startswith(_FOLDER))
 
 
+def _dated_spans_of(spark: SparkSession, sink_path: str, batches: list[int]) -> DataFrame:
+    """Spans with the ``span_date`` of their folder."""
+    folders = (f"{sink_path}/{_FOLDER}{b}" for b in batches)
+    reader = spark.read.schema(SPANS).option("basePath", sink_path)
+    return reader.parquet(*folders).drop("batch_id")
+
+
 def _spans_of(spark: SparkSession, sink_path: str, batches: list[int]) -> DataFrame:
     if not batches:
         return spark.createDataFrame([], SPANS)
-    folders = (f"{sink_path}/{_FOLDER}{b}" for b in batches)
-    reader = spark.read.schema(SPANS).option("basePath", sink_path)
-    return reader.parquet(*folders).select(SPANS.fieldNames())
+    return _dated_spans_of(spark, sink_path, batches).select(SPANS.fieldNames())
+
+
+def _date_folders(dated: DataFrame, period: str) -> list[Row]:
+    """Per ``span_date`` of the folders the ``rows`` and whether they are ``one`` date by ``period``.
+
+    Reads one column; gives one row per date."""
+    first, last = (F.date_trunc(period, f("start_ts")).cast("date") for f in (F.min, F.max))
+    found = dated.groupBy("span_date").agg(
+        F.count(F.lit(1)).alias("rows"), first.eqNullSafe(last).alias("one")
+    )
+    return found.orderBy("span_date").collect()
+
+
+def _by_date(dated: DataFrame, folders: list[Row]) -> DataFrame:
+    """The rows of ``dated``, those of a date in one task or, if they are many, in tasks of their own.
+
+    Folders tell the dates apart, so a scan of its own per date, or per few small ones that follow each
+    other, takes the place of a shuffle.
+    """
+    most = max(TASK_ROWS, sum(f.rows for f in folders) // MAX_SCANS)
+    groups: list[list[Row]] = []
+    for folder in folders:
+        before = groups[-1] if groups else []
+        fits = sum(f.rows for f in before) + folder.rows <= most
+        if before and fits and before[0].span_date is not None:
+            before.append(folder)
+        else:
+            groups.append([folder])
+
+    def scan(group: list[Row]) -> DataFrame:
+        date = F.col("span_date")
+        dates = date.between(group[0].span_date, group[-1].span_date)
+        own = dated.filter(date.isNull() if group[0].span_date is None else dates)
+        return own.coalesce(ceil(sum(f.rows for f in group) / TASK_ROWS))
+
+    return reduce(DataFrame.unionAll, (scan(group) for group in groups))
 
 
 def compact_spans(
@@ -48,6 +97,9 @@ def compact_spans(
     Only batches that the stream's ``checkpoint`` lists as committed are taken, since the stream may
     replay and overwrite others. The commit of the run is the new high-water mark: whatever dies before
     it is done again, whatever comes after it is not. With ``drop`` compacted folders are removed.
+
+    Files of a date are merged where they are read, without a shuffle. Only where a folder of the
+    stream holds several dates, as ``period`` is shorter than the stream's, rows are dealt by date anew.
     """
     done = {int(n) for n in folder_names(spark, f"{checkpoint}/commits") if n.isdigit()}
     mark = compacted_through(spark, table_path)
@@ -56,8 +108,17 @@ def compact_spans(
     rows = 0
     if batches:
         run_id = f"{_RUN}{batches[0]}-{batches[-1]}"
-        spans = _spans_of(spark, sink_path, batches)
-        rows = write_spans(spans, table_path, mode="replace", period=period, run_id=run_id)
+        spans = _dated_spans_of(spark, sink_path, batches)
+        folders = _date_folders(spans, period) if "span_date" in spans.columns else []
+        merged = bool(folders) and all(folder.one for folder in folders)
+        rows = write_spans(
+            (_by_date(spans, folders) if merged else spans).select(SPANS.fieldNames()),
+            table_path,
+            mode="replace",
+            period=period,
+            run_id=run_id,
+            rebalance=not merged,
+        )
         mark = batches[-1] if rows else mark
     if drop:
         for batch in (b for b in found if b <= mark):

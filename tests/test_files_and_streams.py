@@ -1,5 +1,6 @@
 import json
 from collections import Counter
+from unittest.mock import Mock
 
 import pytest
 
@@ -16,7 +17,9 @@ from spanloom import (
     write_spans,
 )
 from spanloom.schemas import SPAN_NODE_FIELDS, SPANS
+from spanloom.sinks import files
 from spanloom.sinks.files import FEW_DATES
+from spanloom.streaming import continuous
 from tests.data import catalog, executions, plan_nodes
 from tests.test_spans import tree
 
@@ -155,3 +158,16 @@ def test_few_dates(spark):
     assert not few_dates(executions(spark, *runs, *odd), "day")
     assert few_dates(executions(spark, *runs, *odd), "year")
     assert few_dates(executions(spark, *runs).limit(0))
+
+
+@pytest.mark.parametrize("few", [0, 16])
+def test_a_batch_with_few_dates_is_not_dealt(spark, tmp_path, monkeypatch, few):
+    monkeypatch.setattr(files, "FEW_DATES", few)
+    landing, sink, offsets = (str(tmp_path / n) for n in ("landing", "sink", "offsets"))
+    source = nested(spark, range(1, 9))
+    source.repartition(4).write.option("maxRecordsPerFile", 1).parquet(landing)
+    monkeypatch.setattr(continuous, "write_spans", dealt := Mock(wraps=write_spans))
+    stream = read_executions(spark, landing, streaming=True)
+    stream_spans(stream, sink, offsets, config=CONFIG, available_now=True).awaitTermination()
+    assert read_spans(spark, sink) == rows(spans_from_nested(source, CONFIG))
+    assert [call.kwargs["rebalance"] for call in dealt.call_args_list] == [few == 0]

@@ -3,6 +3,7 @@
 import json
 
 import pytest
+from pyspark.sql import functions as F
 
 from spanloom import (
     compact_spans,
@@ -149,3 +150,56 @@ def test_compaction(spark, tmp_path, monkeypatch):
     assert compact_spans(spark, sink, offsets, table, drop=True) == 0
     assert rows(read_compacted(spark, sink, table)) == wanted
     assert len(runs.folder_names(spark, sink)) == 1
+
+
+def written(place):
+    """Number of files by date."""
+    days = [p for p in place.glob("**/span_date=*") if p.is_dir()]
+    return {d.name.removeprefix("span_date="): len(list(d.glob("*.parquet"))) for d in days}
+
+
+@pytest.mark.parametrize("task_rows", [1, 400_000])
+def test_compaction_merges_dates_without_a_shuffle(spark, tmp_path, monkeypatch, task_rows):
+    landing, sink, offsets, table = (str(tmp_path / n) for n in ("landing", "sink", "offsets", "table"))
+    source = nested(spark, range(1, 7))
+    source.repartition(4).write.parquet(landing)
+    stream(spark, landing, sink, offsets)
+    monkeypatch.setattr(compaction, "TASK_ROWS", task_rows)
+    plans = []
+
+    def planned(df, *args, **kwargs):
+        plans.append((df._jdf.queryExecution().toString(), kwargs["rebalance"]))
+        return files.write_spans(df, *args, **kwargs)
+
+    monkeypatch.setattr(compaction, "write_spans", planned)
+    spans = spans_from_nested(source, CONFIG)
+    assert compact_spans(spark, sink, offsets, table, drop=True) == spans.count()
+    assert [("Exchange" in plan, dealt) for plan, dealt in plans] == [(False, False)]
+    assert rows(read_compacted(spark, sink, table)) == rows(spans)
+    assert written(tmp_path / "table") == {f"1970-01-0{d}": 1 for d in range(2, 8)}
+
+
+def test_compaction_by_a_shorter_period_deals_rows(spark, tmp_path):
+    landing, sink, offsets, table = (str(tmp_path / n) for n in ("landing", "sink", "offsets", "table"))
+    source = nested(spark, range(1, 4))
+    source.repartition(3).write.parquet(landing)
+    read = read_executions(spark, landing, streaming=True)
+    stream_spans(read, sink, offsets, config=CONFIG, period="year", available_now=True).awaitTermination()
+    spans = spans_from_nested(source, CONFIG)
+    assert compact_spans(spark, sink, offsets, table, period="day") == spans.count()
+    assert rows(read_compacted(spark, sink, table)) == rows(spans)
+    assert written(tmp_path / "table") == {f"1970-01-0{d}": 1 for d in range(2, 5)}
+
+
+def test_compaction_keeps_spans_without_a_time(spark, tmp_path):
+    sink, offsets, table = (str(tmp_path / n) for n in ("sink", "offsets", "table"))
+    source = spans_from_nested(nested(spark, range(1, 4)), CONFIG)
+    no_time = source.filter("query_id = 2").withColumn("start_ts", F.lit(None).cast("timestamp"))
+    both = source.filter("query_id <> 2").unionByName(no_time)
+    for batch in range(2):
+        write_spans(both, f"{sink}/batch_id={batch}", mode="overwrite")
+    (tmp_path / "offsets" / "commits").mkdir(parents=True)
+    for batch in range(2):
+        (tmp_path / "offsets" / "commits" / str(batch)).touch()
+    assert compact_spans(spark, sink, offsets, table, drop=True) == 2 * both.count()
+    assert rows(read_compacted(spark, sink, table)) == rows(both.unionAll(both))
