@@ -27,7 +27,7 @@ from spanloom.llm.anchors import (
     repeated_anchors,
     rolling,
     unpack_pieces,
-    wanted_anchors,
+    wanted_codes,
     with_answers,
 )
 from spanloom.llm.words import find_words, word_hashes
@@ -50,7 +50,7 @@ class _Runs:
     """The distinct runs of a piece, ordered by bucket, and the runs of its windows."""
 
     def __init__(self, windows: Windows, wanted: np.ndarray, buckets: int):
-        self.begin, self.end = windows.runs(wanted)
+        self.begin, self.end = windows.runs(wanted, coded=True)
         whole = mix(rolling(windows.symbols, windows.scheme.length))
         self.hashes = whole[windows.starts] if len(whole) else whole
         sizes = self.end - self.begin
@@ -78,7 +78,7 @@ class _Runs:
 def _send(scheme: Scheme, buckets: int):
     def send(batches):
         for piece, row in unpack_pieces(batches):
-            wanted = wanted_anchors(row)
+            wanted = wanted_codes(row, buckets)
             if not len(wanted):
                 continue
             windows = Windows(scheme, *scheme.symbols(piece.data, piece.offsets))
@@ -145,7 +145,7 @@ def _remove(scheme: Scheme, buckets: int):
             if row["found"]:
                 symbols = word_hashes(piece.data, starts, ends)
                 windows = Windows(scheme, symbols, first)
-                runs = _Runs(windows, wanted_anchors(row), buckets)
+                runs = _Runs(windows, wanted_codes(row, buckets), buckets)
                 through = np.append(0, np.cumsum(runs.sizes))
                 cuts = through[np.searchsorted(runs.bucket, np.arange(buckets + 1))]
                 hit = np.zeros(through[-1], bool)

@@ -293,3 +293,45 @@ def test_bands_cover_all_partners():
             if most >= 1 and 100 * s >= 90 * t:
                 mine, other = dict(families(s, 90)), dict(families(t, 90))
                 assert any(mine[b] > most for b in mine.keys() & other.keys()), (s, t)
+
+
+def test_codes_of_anchors_take_few_bytes():
+    import numpy as np
+
+    from spanloom.llm import anchors
+
+    buckets, rng = 7, np.random.default_rng(5)
+    codes = np.unique(anchors.code_of(rng.integers(0, 2**59, 50_000).astype(np.uint64)))
+    again = rng.random(len(codes)) < 0.3
+    bounds = np.array([anchors._least_code(b, buckets) for b in range(buckets + 1)], np.uint64)
+    assert codes.max() < bounds[-1] == 1 << anchors.CODE_BITS
+    cuts = np.searchsorted(codes, bounds)
+    assert np.diff(cuts).min() > len(codes) / buckets / 2
+    total = 0
+    for bucket, (a, b) in enumerate(zip(cuts, cuts[1:])):
+        least = anchors._least_code(bucket, buckets)
+        held = anchors._pack_codes(codes[a:b], least, again[a:b])
+        total += len(held)
+        got, flags = anchors._unpack_codes(held, least, flagged=True)
+        assert (got == codes[a:b]).all() and (flags == again[a:b]).all()
+        assert (anchors._unpack_codes(anchors._pack_codes(codes[a:b], least), least) == codes[a:b]).all()
+    assert total < 4.5 * len(codes)
+    far = np.array([3, 4, 2**40 - 1], np.uint64)
+    assert anchors._unpack_codes(anchors._pack_codes(far, 0), 0).tolist() == far.tolist()
+
+
+def test_rolling_hashes_do_not_depend_on_blocks():
+    import numpy as np
+
+    from spanloom.llm import anchors
+
+    symbols = np.random.default_rng(6).integers(0, 2**63, 3 * anchors.BLOCK + 11).astype(np.uint64)
+    for size in (1, 16, 35):
+        found = anchors.rolling(symbols, size)
+        assert len(found) == len(symbols) - size + 1
+        for at in (0, anchors.BLOCK - size, anchors.BLOCK, 2 * anchors.BLOCK + 5, len(found) - 1):
+            power, wanted = 1, 0
+            for x in symbols[at : at + size].tolist():
+                wanted, power = (wanted + x * power) % 2**64, power * int(anchors._MUL) % 2**64
+            assert found[at] == wanted
+    assert len(anchors.rolling(symbols[:3], 4)) == 0
